@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions.columns import code_class, sparse_text
 from cohortloom.functions.ordered import dense_index
 from cohortloom.operators.cohort import dead_ids
+from cohortloom.session import cut
 
 
 def index_dates(events: DataFrame, mortality: DataFrame, lead_days: int = 30) -> DataFrame:
@@ -134,6 +135,9 @@ def samples(features: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def feature_pipeline(events: DataFrame, mortality: DataFrame, days: int = 2000) -> DataFrame:
-    """(patient_id, idx, value): all stages with the code map built from the data."""
-    counts = window_counts(events, index_dates(events, mortality), days)
+    """(patient_id, idx, value): all stages with the code map built from the data.
+
+    The counts feed both the code map and the features, so they are written once.
+    """
+    counts = cut(window_counts(events, index_dates(events, mortality), days))
     return normalize_max(feature_map_join(counts, feature_index(counts)))

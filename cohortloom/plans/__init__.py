@@ -1,4 +1,4 @@
 """Registered queries. Importing this package fills the registry."""
 
-from cohortloom.plans import cohort, etl, joins, rows  # noqa: F401
+from cohortloom.plans import clinical, cohort, etl, files, joins, rows  # noqa: F401
 from cohortloom.plans.registry import ORACLES, QUERIES  # noqa: F401
