@@ -124,5 +124,4 @@ def with_views(names: str, body: str, extra: str = "") -> str:
     ctes = [f"{name} AS ({VIEWS[name][1].strip()})" for name in ordered]
     if extra:
         ctes.append(extra.strip())
-    head = "WITH RECURSIVE " if "RECURSIVE_STEP" in body or "_walk" in extra else "WITH "
-    return head + ",\n".join(ctes) + "\n" + body.strip()
+    return "WITH " + ",\n".join(ctes) + "\n" + body.strip()
