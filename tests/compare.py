@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import math
 import os
+import tempfile
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -28,6 +29,8 @@ def local_session() -> SparkSession:
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
+    con.execute(f"SET temp_directory = '{tempfile.mkdtemp(prefix='oracle-')}'")
+    con.execute("SET max_temp_directory_size = '5GB'")
     for path in glob.glob(f"{sf_dir}/*.parquet"):
         name = os.path.basename(path)[: -len(".parquet")]
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")

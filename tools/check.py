@@ -1,4 +1,7 @@
-"""Run registered queries against their oracle SQL: `python tools/check.py [sf_dir] [name ...]`."""
+"""Run registered queries against their oracle SQL: `python tools/check.py [sf_dir] [name ...]`.
+
+With NO_ORACLE=1 the queries are only run and timed.
+"""
 
 from __future__ import annotations
 
@@ -23,8 +26,9 @@ def main() -> int:
             got = QUERIES[name](spark, sf_dir)
             rows = [tuple(r) for r in got.collect()]
             t1 = time.time()
-            problem = differences(got.columns, rows, con, ORACLES[name]) if name in ORACLES else None
-            note = problem or (f"ok {len(rows)} rows" if name in ORACLES else f"ran {len(rows)} rows")
+            checked = name in ORACLES and not os.environ.get("NO_ORACLE")
+            problem = differences(got.columns, rows, con, ORACLES[name]) if checked else None
+            note = problem or (f"ok {len(rows)} rows" if checked else f"ran {len(rows)} rows")
         except Exception as e:  # noqa: BLE001
             t1 = time.time()
             problem = note = f"ERROR {type(e).__name__}: {str(e)[:600]}"
