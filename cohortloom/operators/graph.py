@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.ordered import dense_index
+from cohortloom.session import cut
 
 
 def latest_events(events: DataFrame) -> DataFrame:
@@ -27,14 +28,19 @@ def vertices(patients: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def build(patients: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(vertices, edges) with edges (src, dst, kind, date, value) in both directions."""
-    nodes = vertices(patients, events)
+    """(vertices, edges) with edges (src, dst, kind, date, value) in both directions.
+
+    Events are reduced to one row per patient and item first; that table is written once and gives
+    both the item vertices and the edges.
+    """
+    latest = cut(latest_events(events))
+    nodes = vertices(patients, latest)
     people = nodes.filter(F.col("kind") == "patient").select(
         F.col("vid").alias("src"), F.col("key").cast("bigint").alias("patient_id")
     )
     things = nodes.filter(F.col("kind") != "patient").select(F.col("vid").alias("dst"), "kind", F.col("key").alias("item"))
     forward = (
-        latest_events(events).join(people, "patient_id").join(things, ["kind", "item"])
+        latest.join(people, "patient_id").join(things, ["kind", "item"])
         .select("src", "dst", "kind", "date", "value")
     )
     return nodes, forward.unionByName(reverse(forward))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.operators.propagate import place, push
 from cohortloom.session import cut
 
 
@@ -20,54 +21,30 @@ def restart_walk(
 ) -> DataFrame:
     """(vid, probability) after `rounds` of r <- alpha * e + (1 - alpha) * P'r, from all mass at `start`.
 
-    Mass on vertices without out-edges returns to the start. With `tolerance` the walk stops once
-    the total change between two checks falls below it.
-
-    A vertex with many out-edges is split: its edges are spread over ceil(degree / rows_per_split)
-    slots and its probability is sent to each slot, so no task holds all edges of a hub.
+    Every out-edge of a vertex is equally likely. Mass on vertices without out-edges returns to the
+    start. With `tolerance` the walk stops once the total change between two checks is below it.
     """
-    degrees = edges.groupBy(F.col("src").alias("vid")).agg(F.count("*").alias("degree"))
-    splits = F.ceil(F.col("degree") / F.lit(rows_per_split)).cast("int")
-    slots = degrees.withColumn("splits", splits)
-    # The graph does not change between rounds: place its edges by (source, slot) once.
-    placed = cut(
-        edges.select("src", "dst")
-        .join(slots.select(F.col("vid").alias("src"), "splits"), "src")
-        .select("src", F.pmod(F.xxhash64("dst"), F.col("splits")).cast("int").alias("slot"), "dst")
-        .repartition("src", "slot")
-    )
-    state = cut(
-        nodes.select("vid").join(slots, "vid", "left").withColumn("p", F.when(F.col("vid") == start, 1.0).otherwise(0.0))
-    )
-    shape = state.select("vid", "degree", "splits")
-    rank = state
+    slots, placed = place(edges.select("src", "dst", F.lit(1.0).alias("weight")), rows_per_split)
+    shape = cut(nodes.select("vid").join(slots, "vid", "left"))
+    rank = shape.withColumn("p", F.when(F.col("vid") == start, 1.0).otherwise(0.0))
     checked = rank
     for step in range(1, rounds + 1):
-        moving = rank.filter(F.col("p") > 0)
-        sent = (
-            moving.filter(F.col("degree").isNotNull())
-            .select(
-                F.col("vid").alias("src"),
-                ((1 - alpha) * F.col("p") / F.col("degree")).alias("share"),
-                F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("slot"),
-            )
-            .join(placed, ["src", "slot"])
-            .select(F.col("dst").alias("vid"), "share")
+        moving = rank.filter(F.col("p") > 0).withColumn(
+            "x", (1 - alpha) * F.col("p") / F.coalesce("degree", F.lit(1))
         )
-        stuck = moving.filter(F.col("degree").isNull()).select(
-            F.lit(start).cast("bigint").alias("vid"), ((1 - alpha) * F.col("p")).alias("share")
+        stuck = moving.filter(F.col("degree").isNull()).select(F.lit(start).cast("bigint").alias("vid"), "x")
+        restart = nodes.filter(F.col("vid") == start).select("vid", F.lit(alpha).alias("x"))
+        arrived = (
+            push(moving.select("vid", "splits", "x"), placed).unionByName(stuck).unionByName(restart)
+            .groupBy("vid").agg(F.sum("x").alias("p"))
         )
-        restart = nodes.filter(F.col("vid") == start).select("vid", F.lit(alpha).alias("share"))
-        arrived = sent.unionByName(stuck).unionByName(restart).groupBy("vid").agg(F.sum("share").alias("p"))
         rank = shape.join(arrived, "vid", "left").withColumn("p", F.coalesce("p", F.lit(0.0)))
         if step % cut_every == 0 or step == rounds:
             rank = cut(rank)
             if tolerance is not None:
-                change = (
-                    rank.select("vid", "p").join(checked.select("vid", F.col("p").alias("q")), "vid")
-                    .agg(F.sum(F.abs(F.col("p") - F.col("q")))).first()[0]
-                )
-                if change < tolerance:
+                gap = F.abs(F.col("p") - F.col("q"))
+                both = rank.select("vid", "p").join(checked.select("vid", F.col("p").alias("q")), "vid")
+                if both.agg(F.sum(gap)).first()[0] < tolerance:
                     break
                 checked = rank
     return rank.select("vid", F.col("p").alias("probability"))
