@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortloom.session import cut
+from cohortloom.session import pin
 
 # monotonically_increasing_id keeps the partition number above these bits, the row position below.
 _POSITION_BITS = 33
@@ -18,7 +18,7 @@ def dense_index(df: DataFrame, order_by: list[str | Column], name: str = "idx")
     The rows are range-sorted and checkpointed; each row's number is its position in its partition
     plus the sizes of the partitions before it. Only one row per partition is ever gathered.
     """
-    placed = cut(df.orderBy(*order_by)).withColumn("_at", F.monotonically_increasing_id())
+    placed = pin(df.orderBy(*order_by)).withColumn("_at", F.monotonically_increasing_id())
     part = F.shiftright("_at", _POSITION_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)

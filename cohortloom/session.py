@@ -49,6 +49,17 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the reliable checkpoint folder and go on from there."""
+    """Write `df` as a table in the shared folder and go on from there.
+
+    Besides ending the lineage this gives the planner the table's true size. A checkpointed frame
+    keeps its estimate, and the estimate of a join is a product that grows without end in a loop.
+    """
+    path = work_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: ends the lineage and keeps partitions and their row order as they are."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
