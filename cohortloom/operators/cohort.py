@@ -15,8 +15,11 @@ def dead_ids(mortality: DataFrame) -> DataFrame:
 
 
 def split_cohort(events: DataFrame, mortality: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(alive events, dead events) by presence in the mortality table."""
-    dead = dead_ids(mortality)
+    """(alive events, dead events) by presence in the mortality table.
+
+    Semi and anti joins need no distinct right side; without it the runtime can split a hot patient.
+    """
+    dead = mortality.select("patient_id")
     return events.join(dead, "patient_id", "left_anti"), events.join(dead, "patient_id", "left_semi")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cohortloom.functions.columns import code_class, sparse_text
 from cohortloom.functions.ordered import dense_index
 from cohortloom.operators.cohort import dead_ids
+from cohortloom.operators.relational import spread_lookup
 from cohortloom.session import cut
 
 
@@ -29,7 +30,7 @@ def index_dates(events: DataFrame, mortality: DataFrame, lead_days: int = 30) ->
 
 def time_difference(events: DataFrame, index: DataFrame) -> DataFrame:
     """(patient_id, event_id, value, label, time_difference) with days from the event to the index date."""
-    return events.join(index, "patient_id").select(
+    return spread_lookup(events, index, "patient_id").select(
         "patient_id",
         "event_id",
         "value",
@@ -95,7 +96,7 @@ def normalize_max(features: DataFrame) -> DataFrame:
     would make a window partition as large as the population.
     """
     largest = features.groupBy("idx").agg(F.max("feature_value").alias("largest"))
-    return features.join(largest, "idx").select(
+    return spread_lookup(features, largest, "idx").select(
         "patient_id", "idx", (F.col("feature_value") / F.col("largest")).alias("value")
     )
 

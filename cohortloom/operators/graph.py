@@ -12,12 +12,12 @@ from cohortloom.session import cut
 def latest_events(events: DataFrame) -> DataFrame:
     """(patient_id, kind, item, date, value): the latest record per patient and item.
 
-    Ties on the date go to the larger value, so the choice does not depend on row order.
+    Ties on the date go to the larger value, so the choice does not depend on row order. Taking the
+    largest value per date first keeps both steps in hash aggregation with map-side combining.
     """
-    last = F.max(F.struct("date", "value")).alias("last")
-    return events.groupBy("patient_id", "kind", "item").agg(last).select(
-        "patient_id", "kind", "item", "last.date", "last.value"
-    )
+    key = ["patient_id", "kind", "item"]
+    per_date = events.groupBy(*key, "date").agg(F.max("value").alias("value"))
+    return per_date.groupBy(*key).agg(F.max("date").alias("date"), F.max_by("value", "date").alias("value"))
 
 
 def vertices(patients: DataFrame, events: DataFrame) -> DataFrame:

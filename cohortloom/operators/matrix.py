@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.operators.relational import spread_lookup
+
 GUARD = 2e-15
 
 
@@ -68,4 +70,4 @@ def standard_scale(entries: DataFrame, sample: bool = True) -> DataFrame:
     spread = F.stddev_samp("value") if sample else F.stddev_pop("value")
     stats = entries.groupBy("col").agg(F.avg("value").alias("mean"), spread.alias("sd"))
     scaled = F.when(F.col("sd") > 0, (F.col("value") - F.col("mean")) / F.col("sd")).otherwise(0.0)
-    return entries.join(stats, "col").select("row", "col", scaled.alias("value"))
+    return spread_lookup(entries, stats, "col").select("row", "col", scaled.alias("value"))

@@ -14,10 +14,25 @@ def keep_codes(rows: DataFrame, column: str, codes: DataFrame) -> DataFrame:
 
     No broadcast hint: the list's size is the caller's, so the planner decides from its statistics.
     """
-    listed = codes.select(F.lower(codes.columns[0]).alias("_code")).distinct()
+    listed = codes.select(F.lower(codes.columns[0]).alias("_code"))
     return rows.join(listed, F.lower(rows[column]) == F.col("_code"), "left_semi")
 
 
+def spread_lookup(rows: DataFrame, dim: DataFrame, on: str, how: str = "inner", ways: int = 4) -> DataFrame:
+    """Join rows to `dim`, which has one row per `on`, without tying a key to one task.
+
+    A lookup table that was aggregated by the same key is already partitioned by it, and the join
+    would then run in place: neither the planner nor the runtime could split a key that holds a
+    large share of the rows. Here each key has `ways` slots, the rows' slot follows from their
+    content and the lookup row is repeated per slot. Both sides get a shuffle of their own, so the
+    runtime can split them further; a small enough `dim` is broadcast as usual.
+    """
+    slot = F.pmod(F.xxhash64(*rows.columns), F.lit(ways)).cast("int")
+    slots = F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))
+    joined = rows.withColumn("_slot", slot).join(dim.withColumn("_slot", slots), [on, "_slot"], how)
+    return joined.drop("_slot")
+
+
 def full_outer(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Full outer join as left outer plus the unmatched right rows.
 
@@ -25,19 +40,19 @@ def full_outer(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     join. A null key matches nothing and is kept on either side.
     """
     both = left.join(right, on, "left")
-    right_only = right.join(left.select(*on).distinct(), on, "left_anti")
+    right_only = right.join(left.select(*on), on, "left_anti")
     return both.unionByName(right_only, allowMissingColumns=True)
 
 
 def with_group_max(rows: DataFrame, by: str, value: str, name: str) -> DataFrame:
     """Each row with its group's maximum; the maximum is combined before the shuffle."""
     largest = rows.groupBy(by).agg(F.max(value).alias(name))
-    return rows.join(largest, by)
+    return spread_lookup(rows, largest, by)
 
 
 def subtract(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     """Left rows whose `on` is absent on the right; left duplicates stay."""
-    return left.join(right.select(on).distinct(), on, "left_anti")
+    return left.join(right.select(on), on, "left_anti")
 
 
 def split_random(rows: DataFrame, key: str, test_share: float = 0.20) -> DataFrame:
@@ -72,7 +87,7 @@ def shuffle_splits(rows: DataFrame, key: str, n_splits: int = 5, test_share: flo
 
 def split_by_ids(rows: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     """Rows whose key is in the id table, with repeated ids counted once."""
-    return rows.join(ids.select(on).distinct(), on, "left_semi")
+    return rows.join(ids.select(on), on, "left_semi")
 
 
 def one_hot(rows: DataFrame, key: str, column: str, categories: list[str], sep: str = ",") -> DataFrame:

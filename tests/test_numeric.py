@@ -158,3 +158,25 @@ def test_streamed_centres_follow_the_update_rule(spark):
         centers = moved
     for (c, n), (want_c, want_n) in zip(got, centers):
         assert n == pytest.approx(want_n) and c == pytest.approx(list(want_c))
+
+
+def test_spread_lookup_is_a_plain_join(spark):
+    rows = spark.createDataFrame([(1, i % 3) for i in range(50)] + [(2, 0), (3, 1)], "k INT, v INT")
+    dim = spark.createDataFrame([(1, "a"), (2, "b")], "k INT, name STRING")
+    for how in ("inner", "left"):
+        got = relational.spread_lookup(rows, dim, "k", how)
+        assert sorted(map(str, got.collect())) == sorted(map(str, rows.join(dim, "k", how).collect()))
+
+
+def test_hot_lookup_key_gets_its_own_shuffle(spark):
+    """Without broadcasting, both join inputs are fresh exchanges the runtime can split."""
+    rows = spark.range(2000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = relational.with_group_max(rows, "k", "id", "top")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(k") >= 2 and "_slot" in plan
+        assert joined.filter("k = 0").select("top").distinct().collect()[0].top == 1998
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
