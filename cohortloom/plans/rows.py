@@ -237,7 +237,7 @@ def fn_one_hot_long(spark, d):
 
 
 @query("fn_abs", """
-    SELECT vec_id AS id, i AS pos, abs(CAST(embedding[i + 1] AS DOUBLE)) AS value FROM embeddings, range(64) r(i)""")
+    SELECT vec_id AS id, CAST(i AS INTEGER) AS pos, abs(CAST(embedding[i + 1] AS DOUBLE)) AS value FROM embeddings, range(64) r(i)""")
 def fn_abs(spark, d):
     return src.vectors(spark, d).select("id", F.posexplode(F.transform("features", F.abs)).alias("pos", "value"))
 

@@ -93,10 +93,10 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     "stay_diagnosis": ([], """
         SELECT l_orderkey AS stay_id, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS flag FROM lineitem"""),
     "matrix_entries": ([], """
-        SELECT vec_id AS row, i AS col, abs(CAST(embedding[i + 1] AS DOUBLE)) AS value
+        SELECT vec_id AS row, CAST(i AS INTEGER) AS col, abs(CAST(embedding[i + 1] AS DOUBLE)) AS value
         FROM embeddings, range(64) r(i)"""),
     "signed_entries": ([], """
-        SELECT vec_id AS row, i AS col, CAST(embedding[i + 1] AS DOUBLE) AS value
+        SELECT vec_id AS row, CAST(i AS INTEGER) AS col, CAST(embedding[i + 1] AS DOUBLE) AS value
         FROM embeddings, range(64) r(i)"""),
     "scores": ([], """
         SELECT id, y, (id * 37 % 50 + y * 20) / 70.0::DOUBLE AS s1, (id * 53 % 40 + y * 5) / 45.0::DOUBLE AS s2,

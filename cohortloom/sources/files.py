@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.functions.columns import file_folder, number_or_null, table_name
+from cohortloom.functions.columns import file_folder, number_or_null
 
 EVENTS_DDL = "patient_id STRING, event_id STRING, event_description STRING, event_time DATE, value DOUBLE"
 
@@ -35,7 +37,8 @@ def csv_as_table(spark: SparkSession, path: str, name: str | None = None, schema
     reader = spark.read.option("header", True)
     rows = (reader.schema(schema) if schema else reader).csv(path)
     if name is None:
-        name = spark.range(1).select(table_name(F.lit(path))).first()[0]
+        found = re.search(r"(\w+)(\.csv)?$", path)
+        name = found.group(1) if found else path
     rows.createOrReplaceTempView(name)
     return spark.table(name)
 
