@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,9 +25,32 @@ def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that Python tasks find it wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    root = os.path.dirname(os.path.abspath(__file__))
+    if not os.path.isdir(root):
+        return  # loaded from an archive that the executors were given already
+    archive = os.path.join(tempfile.mkdtemp(prefix="cohortloom-code-"), "cohortloom_code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: `spark.checkpoint.dir`, or a fresh local one in local mode."""
     sc = spark.sparkContext
