@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import language
+from cohortloom.llm import language, simhash
 from cohortloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,3 +53,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("language.rejected").alias("rejected"),
         F.col("language.bits").alias("bits"),
     )
+
+
+@query("op6_simhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
