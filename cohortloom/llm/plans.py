@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import language, simhash
+from cohortloom.llm import decontaminate, language, simhash
 from cohortloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,38 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op7_decontaminate",
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    i AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+    win AS (SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[k:k + least(13, len(w)) - 1], ' ') AS s
+            FROM i, unnest(range(1, len(w) - least(13, len(w)) + 2)) t(k) WHERE len(w) > 0),
+    occ AS (SELECT r, k, n, array_to_string(w[k:k + n - 1], ' ') AS s
+            FROM d, (SELECT DISTINCT n FROM win), unnest(range(1, len(w) - n + 2)) t(k)),
+    hit AS (SELECT r, k, win.n, item_id FROM occ JOIN win ON occ.s = win.s AND occ.n = win.n),
+    places AS (SELECT r, count(DISTINCT p) AS n_hit FROM hit, unnest(range(k, k + n)) t(p) GROUP BY r),
+    items AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+              FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM hit WHERE item_id IS NOT NULL) GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r)
+    """,
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.size("hits").cast("long")
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated(F.col("n_words"), n_hit).alias("contaminated"),
+    )

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.session import cut
+
 #: `[^\x20\x09-\x0D]+`, the words of most contracts, for Spark's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -42,6 +44,15 @@ def free(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` written once with a number for each row, and the name of that column.
+
+    Ids may repeat or be null; the number may not. It is stored, so a retried task meets the same one.
+    """
+    key = free(docs, "row")
+    return cut(docs.withColumn(key, F.monotonically_increasing_id())), key
+
+
 def words(text: str | Column) -> Column:
     """array<string>: the words of the contracts, natively; null has none."""
     return F.filter(F.split(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
