@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, language, simhash
+from cohortloom.llm import decontaminate, language, mixing, simhash
 from cohortloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,35 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         decontaminate.contaminated(F.col("n_words"), n_hit).alias("contaminated"),
     )
+
+
+@query(
+    "op2_mixing",
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, source,
+               len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM d GROUP BY source),
+    c AS (SELECT *, [3, 1, 2][(k - 1) % 3 + 1] AS weight, 2 * source_size AS cap FROM s),
+    o AS (SELECT *, row_number() OVER (ORDER BY cap / weight, k) AS o FROM c),
+    l AS (SELECT *, (1.5 * (SELECT sum(source_size) FROM s)::DOUBLE - coalesce((SELECT sum(cap) FROM o b WHERE b.o < a.o), 0)::DOUBLE)
+                     / (SELECT sum(weight) FROM o b WHERE b.o >= a.o)::DOUBLE AS level FROM o a),
+    t AS (SELECT k, source, source_size, least(cap::DOUBLE, (SELECT max(level) FROM l b WHERE b.level * b.weight <= b.cap) * weight) AS target FROM l),
+    e AS (SELECT *, sum(round(target)::BIGINT) OVER (ORDER BY k)::BIGINT AS e FROM t),
+    n AS (SELECT max(e) AS total, greatest(1, least(2048, max(e) // 1048576)) AS block FROM e),
+    p AS (SELECT least(floor(((2654435769 * (i % 2147483648)) % 4294967296) / 4294967296::DOUBLE * total)::BIGINT, total - 1) AS spot
+          FROM n, range((SELECT (total + block - 1) // block FROM n)) x(i)),
+    h AS (SELECT spot, count(*) AS m FROM p GROUP BY spot),
+    q AS (SELECT k, any_value(source) AS source, any_value(source_size) AS source_size, any_value(target) AS target,
+                 coalesce(sum(m), 0)::BIGINT * any_value(block) AS given
+          FROM e CROSS JOIN n LEFT JOIN h ON spot >= e - round(target)::BIGINT AND spot < e GROUP BY k),
+    b AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), size, r
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begin FROM d)
+    SELECT doc_id, size, source_size, target,
+           (greatest(0, least(begin + size, given) - begin) + greatest(0, least(begin + source_size + size, given) - begin - source_size))::BIGINT AS taken
+    FROM b JOIN q ON b.source IS NOT DISTINCT FROM q.source
+    """,
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources takes of every document."""
+    docs = mixing.sized(table(spark, sf_dir, "documents"))
+    return mixing.taken(docs, weights=[3, 1, 2]).select("doc_id", "size", "source_size", "target", "taken")
