@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, language, mixing, simhash
+from cohortloom.llm import decontaminate, language, mixing, simhash, tokenfile
 from cohortloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def public_tokenizer(name: str) -> str:
+    """Path of an installed vocabulary file; every machine has it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -127,3 +134,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all sources takes of every document."""
     docs = mixing.sized(table(spark, sf_dir, "documents"))
     return mixing.taken(docs, weights=[3, 1, 2]).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op5_token_file")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written in order and read back."""
+    return tokenfile.round_trip(table(spark, sf_dir, "documents"), public_tokenizer("word_bpe_49k.json"))
