@@ -258,7 +258,11 @@ BETAS = [0.05, 0.1, 0.2, 0.4, 0.8, 1.6, 3.2]
 
 
 def calibrated(rows: DataFrame, text: str, lang: str, model: Model) -> Model:
-    """Set `beta` by the least log loss and `cutoff` by the 99.9 % quantile of entropies in the known language."""
+    """Set `beta` by the least log loss and `cutoff` by the 99.9 % quantile of entropies in the known language.
+
+    The fewer texts the quantile rests on, the wider the cutoff: 8 / sqrt(texts) is added, and a
+    language without any has none.
+    """
     bits = entropies(rows.sparkSession, F.col(text), model)
     index = F.array_position(F.array(*[F.lit(x) for x in model.langs]), F.col("lang")).cast("int")
     known = rows.select(F.col(lang).alias("lang"), bits.alias("found")).filter(F.col("found.letters") > 0)
@@ -269,10 +273,10 @@ def calibrated(rows: DataFrame, text: str, lang: str, model: Model) -> Model:
     ]
     loss = known.agg(*losses).collect()[0]
     ranked = sorted((loss[f"b{i}"], b) for i, b in enumerate(BETAS) if loss[f"b{i}"] is not None)
-    high = {r[0]: r[1] for r in known.groupBy("lang").agg(F.percentile_approx("own", 0.999)).collect()}  # one row per language
-    widest = max(high.values(), default=np.inf)
+    limit = F.percentile_approx("own", 0.999) + 8 / F.sqrt(F.count("*"))
+    high = {r[0]: r[1] for r in known.groupBy("lang").agg(limit).collect()}  # one row per language
     return dataclasses.replace(
-        model, beta=ranked[0][1] if ranked else 1.0, cutoff=np.array([high.get(x, widest) for x in model.langs])
+        model, beta=ranked[0][1] if ranked else 1.0, cutoff=np.array([high.get(x, np.inf) for x in model.langs])
     )
 
 

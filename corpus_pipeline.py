@@ -1,18 +1,73 @@
-"""The pipeline over documents: language ID, near-duplicates, decontamination, mixing, token output."""
+"""The pipeline over documents: language ID, near-duplicates, decontamination, mixing, token output.
+
+Each stage takes what the stage before kept, as Parquet, and applies one operator of cohortloom.llm.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cohortloom.llm import decontaminate, language, mixing, simhash, tokenfile
+from cohortloom.llm.plans import public_tokenizer
+from cohortloom.llm.text import free
+from cohortloom.session import tune, work_path
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; the rejected ones go. `lang` stays as it is given."""
+    tune(spark)
+    fold = F.crc32(F.col("doc_id").cast("string"))
+    model = language.fit(docs.filter(fold % 3 != 1), calibration=F.floor(fold / 3) % 10 == 0)
+    name = free(docs, "language")
+    found = language.identify(docs, model, name=name)
+    return found.filter(~F.col(f"{name}.rejected")).drop(name)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, that of the smallest id."""
+    tune(spark)
+    return simhash.keep_one(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which benchmark windows cover less than one word in twenty."""
+    tune(spark)
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them: 150 % of all words by weights 3, 1, 2, nobody above twice."""
+    tune(spark)
+    return mixing.remix(docs, weights=[3, 1, 2])
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of the token files of what is left, repeats included."""
+    tune(spark)
+    return tokenfile.round_trip(docs, public_tokenizer("word_bpe_49k.json"))
+
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontaminate", drop_contaminated),
+    ("mix", mix_sources),
+    ("tokens", write_tokens),
+]
 
+#: Character models, SimHash and the tokenizer have no SQL form; tests/llm/test_pipeline.py has the brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each written as Parquet to the shared folder and read again."""
+    tune(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        path = work_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
