@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, language, mixing, quality, simhash, tokenfile
+from cohortloom.llm import decontaminate, language, mixing, quality, simhash, tokencount, tokenfile
 from cohortloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,3 +149,15 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr"
     )
+
+
+@query("op10_token_count")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    docs = table(spark, sf_dir, "documents")
+    counted = docs.select(
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        tokencount.token_count(F.col("text"), public_tokenizer("byte_bpe_50k.json")).alias("n_tokens"),
+    )
+    return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
