@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, language, mixing, quality, simhash, tokencount, tokenfile
+from cohortloom.llm import decontaminate, language, mixing, quality, simhash, tokencount, tokenfile, urls
 from cohortloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,3 +161,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         tokencount.token_count(F.col("text"), public_tokenizer("byte_bpe_50k.json")).alias("n_tokens"),
     )
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+#: Rules of the URL query, host and start of the path.
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+@query("op9_url_filter")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the URL of every page; the trees learn from the URLs that the rules decide."""
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict", "judged.block_share")
