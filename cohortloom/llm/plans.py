@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, language, mixing, quality, simhash, tokencount, tokenfile, urls
+from cohortloom.llm import decontaminate, language, mixing, quality, simhash, tokencount, tokenfile, urls, warc
 from cohortloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,3 +172,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the URL of every page; the trees learn from the URLs that the rules decide."""
     judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
     return judged.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict", "judged.block_share")
+
+
+@query(
+    "op3_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    d AS (SELECT page_id, strlen(h) AS n, sha256(h) AS digest, min(page_id) OVER (PARTITION BY h) AS first FROM p),
+    r AS (SELECT *, CASE WHEN n >= 100 AND page_id IS DISTINCT FROM first THEN first END AS refers_to FROM d)
+    SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+           refers_to, true AS verified
+    FROM r
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as WARC archives, written and read back."""
+    back = warc.round_trip(table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
