@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, language, mixing, quality, simhash, tokencount, tokenfile, urls, warc
+from cohortloom.llm import decontaminate, language, licenses, mixing, quality, simhash, tokencount, tokenfile, urls, warc
 from cohortloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,3 +189,32 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages as WARC archives, written and read back."""
     back = warc.round_trip(table(spark, sf_dir, "pages"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified")
+
+
+_TEMPLATES = ", ".join(f"({k}, '{name}', '{text}')" for k, (name, text) in enumerate(licenses.TEMPLATES))
+
+
+@query(
+    "op8_license",
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    t AS (SELECT k, name, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM (VALUES {_TEMPLATES}) v(k, name, text)),
+    ts AS (SELECT DISTINCT k, name, array_to_string(w[p:p + 4], ' ') AS s FROM t, unnest(range(1, len(w) - 3)) u(p)),
+    n AS (SELECT k, count(*) AS n FROM ts GROUP BY k),
+    m AS (SELECT r, ts.k, name, n, p, s FROM (SELECT r, p, array_to_string(w[p:p + 4], ' ') AS s FROM d, unnest(range(1, len(w) - 3)) u(p))
+          JOIN ts USING (s) JOIN n USING (k)),
+    c AS (SELECT a.r, a.name, count(DISTINCT b.s) / a.n::DOUBLE AS share, count(DISTINCT b.s) >= ceil(0.8 * a.n) AS hit
+          FROM m a JOIN m b ON a.r = b.r AND a.k = b.k AND b.p >= a.p AND b.p < a.p + a.n GROUP BY a.r, a.k, a.name, a.n, a.p),
+    h AS (SELECT r, count(DISTINCT name) AS n_licenses, string_agg(DISTINCT name, ',' ORDER BY name) AS licenses, max(share) AS best FROM c WHERE hit GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_licenses, 0)::BIGINT AS n_licenses, coalesce(licenses, '') AS licenses, coalesce(best, 0) AS best
+    FROM d LEFT JOIN h USING (r)
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that every document states."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    names = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["license"])))
+    best = F.coalesce(F.array_max(F.transform("hits", lambda h: h["containment"])), F.lit(0.0))
+    return found.select(
+        "doc_id", "n_words", F.size(names).cast("long").alias("n_licenses"), F.array_join(names, ",").alias("licenses"), best.alias("best")
+    )
