@@ -41,6 +41,12 @@ HEADLINE = [
     "sgd_logistic",
     "sgd_train_ensemble",
     "clf_logistic",
+    "pic",
+    "phenotype_clustering",
+    "grid_search_cv",
+    "stack_models",
+    "gmm",
+    "pca_project",
 ]
 
 

@@ -39,11 +39,10 @@ def build(patients: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]
         F.col("vid").alias("src"), F.col("key").cast("bigint").alias("patient_id")
     )
     things = nodes.filter(F.col("kind") != "patient").select(F.col("vid").alias("dst"), "kind", F.col("key").alias("item"))
-    forward = (
-        latest.join(people, "patient_id").join(things, ["kind", "item"])
-        .select("src", "dst", "kind", "date", "value")
-    )
-    return nodes, forward.unionByName(reverse(forward))
+    joined = latest.join(people, "patient_id").join(things, ["kind", "item"])
+    # Both directions from one row, so that the joins run once.
+    ways = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    return nodes, joined.select("kind", "date", "value", F.inline(ways)).select("src", "dst", "kind", "date", "value")
 
 
 def reverse(edges: DataFrame) -> DataFrame:

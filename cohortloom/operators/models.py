@@ -13,15 +13,21 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.functions.columns import hash_unit
+from cohortloom.functions.columns import hash_unit_for
+from cohortloom.session import cut
 
 POSITIVE_WEIGHT = 0.91
 NEGATIVE_WEIGHT = 0.09
 
 
+def fold_of(key: str, folds: int) -> Column:
+    """0 .. folds - 1 from a hash of the key that is independent of the test split's."""
+    return F.floor(hash_unit_for(key, F.lit("fold")) * folds).cast("int")
+
+
 def logistic(**params) -> LogisticRegression:
     return LogisticRegression(**params)
 
@@ -51,13 +57,21 @@ def probability_table(model, rows: DataFrame, name: str = "score") -> DataFrame:
 
 
 def select_by_coef(rows: DataFrame, c: float = 1.5, limit: float = 0.15) -> tuple[DataFrame, list[int]]:
-    """Rows with only the features whose linear-SVM coefficient is at least `limit` in size."""
+    """Rows with only the features whose linear-SVM coefficient is at least `limit` in size, and their positions.
+
+    If no coefficient reaches the limit there are no positions, and the rows keep their columns but for `features`.
+    """
     model = svm(c, rows.count()).fit(rows)
     kept = [i for i, w in enumerate(model.coefficients) if abs(w) >= limit]
+    return keep_features(rows, kept), kept
+
+
+def keep_features(rows: DataFrame, kept: list[int]) -> DataFrame:
+    """Rows with only the features at the given positions."""
     if not kept:
-        raise ValueError(f"no coefficient reaches {limit}")
+        return rows.drop("features")
     sliced = VectorSlicer(inputCol="features", outputCol="_kept", indices=kept).transform(rows)
-    return sliced.drop("features").withColumnRenamed("_kept", "features"), kept
+    return sliced.drop("features").withColumnRenamed("_kept", "features")
 
 
 def with_class_weight(rows: DataFrame, positive: float = POSITIVE_WEIGHT, negative: float = NEGATIVE_WEIGHT) -> DataFrame:
@@ -68,7 +82,8 @@ def with_class_weight(rows: DataFrame, positive: float = POSITIVE_WEIGHT, negati
 def grid_search(rows: DataFrame, grid: dict[str, list[float]], folds: int = 5, weighted: bool = False):
     """Cross-validated grid over a scale -> logistic pipeline, refit on all rows.
 
-    Folds come from a hash of the id, so the same row is always in the same fold.
+    Folds come from a hash of the id, drawn apart from other splits, so the same row is always in
+    the same fold and folds of a training split are even.
     """
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
     model = LogisticRegression(featuresCol="scaled")
@@ -85,18 +100,21 @@ def grid_search(rows: DataFrame, grid: dict[str, list[float]], folds: int = 5, w
         foldCol="fold",
         parallelism=4,
     )
-    return search.fit(rows.withColumn("fold", F.floor(hash_unit("id") * folds).cast("int")))
+    return search.fit(rows.withColumn("fold", fold_of("id", folds)))
 
 
 def out_of_fold(rows: DataFrame, estimator, name: str, folds: int = 5) -> DataFrame:
     """(id, `name`): each row's probability from a model that has not seen it."""
-    parted = rows.withColumn("_fold", F.floor(hash_unit("id") * folds).cast("int")).persist()
-    out = None
-    for fold in range(folds):
-        model = estimator.fit(parted.filter(F.col("_fold") != fold))
-        part = probability_table(model, parted.filter(F.col("_fold") == fold), name).select("id", name)
-        out = part if out is None else out.unionByName(part)
-    return out
+    parted = rows.withColumn("_fold", fold_of("id", folds)).persist()
+    try:
+        out = None
+        for fold in range(folds):
+            model = estimator.fit(parted.filter(F.col("_fold") != fold))
+            part = probability_table(model, parted.filter(F.col("_fold") == fold), name).select("id", name)
+            out = part if out is None else out.unionByName(part)
+        return cut(out)
+    finally:
+        parted.unpersist()
 
 
 def join_predictions(first: DataFrame, others: list[DataFrame], on: str = "id") -> DataFrame:

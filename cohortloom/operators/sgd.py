@@ -10,9 +10,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.functions.columns import hash_unit, sigmoid
+from cohortloom.functions.columns import hash_unit_for, sigmoid
 from cohortloom.operators.relational import sample_per_model
-from cohortloom.session import cut
+from cohortloom.session import cut, drop_cut
 
 
 def linear_scores(rows: DataFrame, weights: DataFrame) -> DataFrame:
@@ -53,7 +53,8 @@ def train_batches(sampled: DataFrame, rounds: int, eta: float, mu: float) -> Dat
     try:
         weights = cut(zero_weights(sampled))
         for _ in range(rounds):
-            weights = cut(batch_step(sampled, weights, eta, mu))
+            before, weights = weights, cut(batch_step(sampled, weights, eta, mu))
+            drop_cut(before)
         return weights
     finally:
         sampled.unpersist()
@@ -74,23 +75,21 @@ def _train_rows(rows: pd.DataFrame, eta: float, mu: float) -> tuple[np.ndarray,
     return indices, weight
 
 
-def train_grouped(sampled: DataFrame, eta: float, mu: float, rows_per_shard: int = 50_000) -> DataFrame:
-    """(model_id, idx, weight) from one sequential pass per model.
+def train_grouped(sampled: DataFrame, eta: float, mu: float, shards: int = 1) -> DataFrame:
+    """(model_id, idx, weight) from one sequential pass over each of a model's `shards`, averaged by their size.
 
-    A model's rows are cut into shards of about `rows_per_shard` by a hash of the id, each shard is
-    trained by itself and the weights are averaged by shard size: no task holds more than a shard.
-    With one shard this is the plain sequential pass.
+    The number of shards is the caller's and part of the definition: rows fall into them by a hash of
+    the id, whatever their number, so the same rows give the same weights at every size and setting.
+    One task holds one shard. For samples too large for that use `train_batches`, which gathers no rows.
     """
     packed = sampled.groupBy("model_id", "id").agg(
         F.first("y").cast("double").alias("y"), F.array_sort(F.collect_list(F.struct("idx", "value"))).alias("pairs")
     )
     packed = cut(packed.select("model_id", "id", "y", F.col("pairs.idx").alias("idx"), F.col("pairs.value").alias("value")))
-    shards = packed.groupBy("model_id").agg(
-        F.ceil(F.count("*") / F.lit(rows_per_shard)).alias("shards"), F.count("*").alias("total")
-    )
+    totals = packed.groupBy("model_id").agg(F.count("*").alias("total"))
     # One row per model.
-    placed = packed.join(F.broadcast(shards), "model_id").withColumn(
-        "shard", F.floor(hash_unit("id") * F.col("shards")).cast("int")
+    placed = packed.join(F.broadcast(totals), "model_id").withColumn(
+        "shard", F.floor(hash_unit_for("id", F.lit("shard")) * shards).cast("int")
     )
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
@@ -103,11 +102,11 @@ def train_grouped(sampled: DataFrame, eta: float, mu: float, rows_per_shard: int
 
 
 def train_ensemble(
-    rows: DataFrame, n_models: int, ratio: float, eta: float = 0.01, mu: float = 0.0, **options
+    rows: DataFrame, n_models: int, ratio: float, rounds: int = 10, eta: float = 0.5, mu: float = 0.0
 ) -> DataFrame:
-    """`n_models` models, each on its own Bernoulli sample of the ids."""
+    """`n_models` models, each on its own Bernoulli sample of the ids, by batch steps that gather no rows."""
     ids = sample_per_model(rows.select("id").distinct(), "id", n_models, ratio)
-    return train_grouped(rows.join(ids, "id"), eta, mu, **options)
+    return train_batches(rows.join(ids, "id").select("model_id", "id", "y", "idx", "value"), rounds, eta, mu)
 
 
 def mean_probability(rows: DataFrame, weights: DataFrame) -> DataFrame:

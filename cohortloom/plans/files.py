@@ -66,14 +66,27 @@ def src_table_name(spark, d):
     return src.table(spark, d, "pages").select("page_id", found, table_name("url").alias("name"))
 
 
-@query("src_svmlight", with_views("normalized", """
-    SELECT CAST(CASE WHEN n.patient_id % 4 = 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS label, CAST(idx AS INTEGER) AS idx,
-           CAST(printf('%.6f', value) AS DOUBLE) AS value FROM normalized n"""))
-def src_svmlight(spark, d):
+def _svmlight_file(spark, d):
     path = work_path(spark, "features_svmlight")
     vectors = etl.patient_vectors(features(spark, d), src.mortality(spark, d))
     etl.svmlight_lines(vectors).select("line").write.text(path)
-    return files.read_svmlight(spark, path)
+    return path
+
+
+_SVMLIGHT_ROWS = """
+    SELECT CAST(CASE WHEN patient_id % 4 = 0 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS label, count(*) AS n_pairs,
+           string_agg(CAST(idx AS VARCHAR), ' ' ORDER BY idx) AS indices, CAST(sum(CAST(round(CAST(printf('%.6f', value) AS DOUBLE) * 1000000) AS BIGINT)) AS BIGINT) AS total
+    FROM normalized GROUP BY patient_id"""
+
+
+@query("src_svmlight", with_views("normalized", _SVMLIGHT_ROWS))
+def src_svmlight(spark, d):
+    """The file's rows again, put together by their line: label, pairs, indices in order, sum of values in millionths."""
+    pairs = files.read_svmlight(spark, _svmlight_file(spark, d)).filter("idx IS NOT NULL")
+    ordered = F.transform(F.array_sort(F.collect_list("idx")), lambda i: i.cast("string"))
+    return pairs.groupBy("line").agg(
+        F.first("label").alias("label"), F.count("*").alias("n_pairs"), F.array_join(ordered, " ").alias("indices"), F.sum(F.round(F.col("value") * 1000000).cast("bigint")).alias("total")
+    ).drop("line")
 
 
 @query("src_wordlist", "SELECT DISTINCT lower(p_name) AS code FROM part")

@@ -56,11 +56,22 @@ def clf_forest(spark, d):
 
 @query("select_by_coef")
 def select_by_coef(spark, d):
-    """(feature): the kept feature positions."""
-    _, kept = models.select_by_coef(docs(spark, d), limit=0.01)
+    """(feature): the kept feature positions, from the training rows."""
+    _, kept = models.select_by_coef(docs(spark, d).filter("is_test = 0"), limit=0.15)
     return spark.createDataFrame([(i,) for i in kept], "feature INT")
 
 
+@query("select_then_forest")
+def select_then_forest(spark, d):
+    """Features selected on the training rows, a forest on those, predictions for the held-out rows."""
+    rows = docs(spark, d)
+    train, kept = models.select_by_coef(rows.filter("is_test = 0"), limit=0.15)
+    if not kept:
+        train, kept = rows.filter("is_test = 0"), list(range(4 + len(LANGS)))
+    model = models.forest(50, 15).fit(train)
+    return models.predict(model, models.keep_features(rows.filter("is_test = 1"), kept))
+
+
 @query("clf_weighted")
 def clf_weighted(spark, d):
     """Held-out metrics of the class-weighted model."""
@@ -74,7 +85,8 @@ def clf_weighted(spark, d):
 def grid_search_cv(spark, d):
     """(reg_param, mean_auc) per grid point."""
     grid = [0.001, 0.1]
-    found = models.grid_search(models.with_class_weight(docs(spark, d)), {"regParam": grid}, folds=5, weighted=True)
+    train = models.with_class_weight(docs(spark, d).filter("is_test = 0"))
+    found = models.grid_search(train, {"regParam": grid}, folds=5, weighted=True)
     return spark.createDataFrame([(g, float(a)) for g, a in zip(grid, found.avgMetrics)], "reg_param DOUBLE, mean_auc DOUBLE")
 
 
@@ -148,19 +160,52 @@ def sgd_batches(spark, d):
 
 @query("udf_grouped_train")
 def udf_grouped_train(spark, d):
-    """One model per key by a grouped function."""
-    return sgd.train_grouped(_sampled(spark, d), 0.01, 0.0)
-
-
-@query("sgd_train_ensemble")
+    """One model per key by a grouped function, two shards each."""
+    return sgd.train_grouped(_sampled(spark, d), 0.01, 0.0, shards=2)
+
+
+def _ensemble_sql(rounds: int) -> str:
+    """Batch steps from zero on the training rows, then probabilities of the held-out rows."""
+    held = f"{unit('CAST(id AS VARCHAR)')} <= 0.2"
+    steps = [
+        f"train AS MATERIALIZED (SELECT * FROM sampled WHERE NOT ({held}))",
+        "e0 AS MATERIALIZED (SELECT DISTINCT model_id, idx, 0.0::DOUBLE AS weight FROM train)",
+        "n AS MATERIALIZED (SELECT model_id, count(DISTINCT id) AS n FROM train GROUP BY 1)",
+    ]
+    for i in range(1, rounds + 1):
+        steps.append(f"""err{i} AS MATERIALIZED (SELECT s.model_id, s.id, any_value(s.y) - 1.0 / (1.0 + exp(-sum(w.weight * s.value))) AS error
+          FROM train s JOIN e{i - 1} w ON w.model_id = s.model_id AND w.idx = s.idx GROUP BY 1, 2)""")
+        steps.append(f"""e{i} AS MATERIALIZED (SELECT w.model_id, w.idx, w.weight + {ETA} * (coalesce(g.g, 0) / n.n) AS weight
+          FROM e{i - 1} w JOIN n ON n.model_id = w.model_id
+          LEFT JOIN (SELECT t.model_id, t.idx, sum(e.error * t.value) AS g FROM train t
+                     JOIN err{i} e ON e.model_id = t.model_id AND e.id = t.id GROUP BY 1, 2) g
+            ON g.model_id = w.model_id AND g.idx = w.idx)""")
+    steps.append(f"""test AS MATERIALIZED (SELECT * FROM rows_long WHERE {held}),
+      known AS (SELECT w.model_id, t.id, 1.0 / (1.0 + exp(-sum(w.weight * t.value))) AS p
+                FROM test t JOIN e{rounds} w ON w.idx = t.idx GROUP BY 1, 2)""")
+    return ", ".join(steps)
+
+
+_ENSEMBLE_ROUNDS = 10
+
+
+@query("sgd_train_ensemble", with_views("normalized", """
+    SELECT i.id, i.y, round((coalesce(sum(k.p), 0) + 0.5 * (3 - count(k.p))) / 3, 9) AS probability
+    FROM (SELECT DISTINCT id, y FROM test) i LEFT JOIN known k ON k.id = i.id GROUP BY 1, 2""",
+    _SAMPLED + ", " + _ensemble_sql(_ENSEMBLE_ROUNDS)))
 def sgd_train_ensemble(spark, d):
-    """(model, auc) of the ensemble on its training rows."""
-    rows = cut(rows_long(spark, d))
-    weights = cut(sgd.train_ensemble(rows, n_models=3, ratio=0.6, eta=0.01))
-    labels = rows.select("id", "y").distinct()
-    scored = sgd.mean_probability(rows, weights).join(labels, "id").select(
-        F.lit("ensemble").alias("model"), "y", F.col("probability").alias("score")
-    )
+    """(id, y, probability) of held-out patients under the mean of three models trained on the others."""
+    rows = cut(rows_long(spark, d).withColumn("is_test", hash_unit("id") <= 0.2))
+    train, test = rows.filter("NOT is_test").drop("is_test"), rows.filter("is_test").drop("is_test")
+    weights = sgd.train_ensemble(train, n_models=3, ratio=0.6, rounds=_ENSEMBLE_ROUNDS, eta=ETA)
+    scored = sgd.mean_probability(test, weights).join(test.select("id", "y").distinct(), "id")
+    return scored.select("id", "y", F.round("probability", 9).alias("probability"))
+
+
+@query("sgd_ensemble_auc")
+def sgd_ensemble_auc(spark, d):
+    """(model, auc) of that ensemble on the held-out patients."""
+    scored = sgd_train_ensemble(spark, d).select(F.lit("ensemble").alias("model"), "y", F.col("probability").alias("score"))
     return evaluate.roc_auc(scored, ["model"])
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortloom.operators import cluster, matrix, nmf, pic
+from cohortloom.operators import cluster, matrix, nmf, pic, similarity
 from cohortloom.operators.evaluate import purity
 from cohortloom.plans.clinical import _LABELS_SQL, clinical_tuples, phenotype_labels
-from cohortloom.plans.graph import stay_similarities
-from cohortloom.plans.registry import ORACLES, query
+from cohortloom.plans.graph import _STAY_SETS, THRESHOLD, items, stay_items
+from cohortloom.plans.registry import query
 from cohortloom.plans.views import unit, with_views
 from cohortloom.session import cut, work_path
 from cohortloom.sources import adapters as src
@@ -260,18 +260,27 @@ def phenotype_clustering(spark, d):
     return purity(assigned, ["method"])
 
 
-def _weighted(spark, d):
-    return cut(
-        stay_similarities(spark, d).select(
-            F.col("p1").alias("src"), F.col("p2").alias("dst"), F.col("similarity").alias("weight")
-        )
-    )
+def _similarity_graph(items, threshold):
+    """(pairs of distinct sets, members): the whole graph, copies as multiplicities."""
+    sets, members = similarity.distinct_sets(items)
+    sets, members = cut(sets), cut(members)
+    pairs = similarity.similar_sets(sets, threshold)
+    weighted = cut(pairs.select(F.col("s1").alias("src"), F.col("s2").alias("dst"), F.col("similarity").alias("weight")))
+    return weighted, members.select(F.col("patient_id").alias("id"), "set_id")
 
 
 @query("pic")
 def pic_clusters(spark, d):
     """(id, cluster) of stays by power iteration over their similarities."""
-    return pic.assign_clusters(_weighted(spark, d), k=3, rounds=100)
+    weighted, members = _similarity_graph(cut(stay_items(spark, d)), THRESHOLD)
+    return pic.assign_clusters(weighted, k=3, rounds=100, members=members)
+
+
+@query("pic_patients")
+def pic_patients(spark, d):
+    """(id, cluster) of the graph's patients by the diagnoses, medications and labs they share."""
+    weighted, members = _similarity_graph(cut(items(spark, d)), 0.05)
+    return pic.assign_clusters(weighted, k=3, rounds=100, members=members)
 
 
 def _pic_rounds_sql(rounds: int) -> str:
@@ -283,12 +292,14 @@ def _pic_rounds_sql(rounds: int) -> str:
     return ", ".join(steps)
 
 
-@query("pic_embedding", f"""
-    WITH pairs AS ({ORACLES['jaccard_all_pairs']}),
-    both_ways AS (SELECT p1 AS src, p2 AS dst, similarity AS weight FROM pairs
-                  UNION ALL SELECT p2, p1, similarity FROM pairs),
+@query("pic_embedding", _STAY_SETS + f""",
+    both_ways AS (SELECT m.patient_id AS src, n.patient_id AS dst, similarity AS weight FROM (
+        SELECT a.patient_id AS p1, b.patient_id AS p2, count(*) / (min(a.n) + min(b.n) - count(*))::DOUBLE AS similarity
+        FROM sets a JOIN sets b ON a.item = b.item GROUP BY 1, 2) s
+      JOIN reps m ON m.rep = p1 JOIN reps n ON n.rep = p2 WHERE similarity >= {THRESHOLD} AND m.patient_id <> n.patient_id),
     totals AS (SELECT src, sum(weight) AS total FROM both_ways GROUP BY src), {_pic_rounds_sql(3)}
     SELECT vid AS id, round(x / (SELECT sum(x) FROM v3), 12) AS x FROM v3""")
 def pic_embedding(spark, d):
-    """Three rounds of the power iteration."""
-    return pic.embed(_weighted(spark, d), rounds=3).withColumn("x", F.round("x", 12))
+    """Three rounds of the power iteration, against all pairs of stays, copies included."""
+    weighted, members = _similarity_graph(cut(stay_items(spark, d)), THRESHOLD)
+    return pic.embed(weighted, rounds=3, members=members).withColumn("x", F.round("x", 12))

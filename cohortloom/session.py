@@ -81,7 +81,19 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = work_path(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.cut_path = path
+    return table
+
+
+def drop_cut(df: DataFrame) -> None:
+    """Remove the files behind a frame that `cut` returned, once a later table has taken its place."""
+    path = getattr(df, "cut_path", None)
+    if path is not None:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+        df.cut_path = None
 
 
 def pin(df: DataFrame) -> DataFrame:

@@ -44,12 +44,18 @@ def csv_as_table(spark: SparkSession, path: str, name: str | None = None, schema
 
 
 def read_svmlight(spark: SparkSession, path: str) -> DataFrame:
-    """svmlight text in long form (line, label, idx, value); indices as written."""
-    rows = spark.read.text(path).select(F.split(F.trim("value"), r"\s+").alias("parts"))
+    """svmlight text in long form (line, label, idx, value); indices as written.
+
+    `line` tells the rows of the file apart (file order within a split, not consecutive numbers). A
+    line without pairs gives one row with null idx and value.
+    """
+    rows = spark.read.text(path).select(
+        F.monotonically_increasing_id().alias("line"), F.split(F.trim("value"), r"\s+").alias("parts")
+    )
     pairs = F.filter(F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0))), lambda p: p.contains(":"))
-    long = rows.select(F.col("parts")[0].cast("double").alias("label"), F.explode_outer(pairs).alias("pair"))
+    long = rows.select("line", F.col("parts")[0].cast("double").alias("label"), F.explode_outer(pairs).alias("pair"))
     cell = F.split("pair", ":")
-    return long.select("label", cell[0].cast("int").alias("idx"), cell[1].cast("double").alias("value"))
+    return long.select("line", "label", cell[0].cast("int").alias("idx"), cell[1].cast("double").alias("value"))
 
 
 def read_libsvm(spark: SparkSession, path: str, width: int) -> DataFrame:

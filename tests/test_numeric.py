@@ -116,7 +116,7 @@ def test_one_shard_is_the_sequential_pass(spark, mu):
 
 def test_shards_bound_the_group_and_still_learn(spark):
     rows, df = sgd_rows(spark, 200)
-    weights = sgd.train_grouped(df, 0.1, 0.0, rows_per_shard=25)
+    weights = sgd.train_grouped(df, 0.1, 0.0, shards=8)
     long = df.select("id", "y", "idx", "value")
     scored = sgd.mean_probability(long, weights).join(long.select("id", "y").distinct(), "id").select(
         F.lit("m").alias("model"), "y", F.col("probability").alias("score")
