@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.operators.propagate import place, push
-from cohortloom.session import cut
+from cohortloom.session import cut, drop_cut
 
 
 def restart_walk(
@@ -41,12 +41,18 @@ def restart_walk(
         rank = shape.join(arrived, "vid", "left").withColumn("p", F.coalesce("p", F.lit(0.0)))
         if step % cut_every == 0 or step == rounds:
             rank = cut(rank)
-            if tolerance is not None:
+            if tolerance is None:
+                drop_cut(checked)
+                checked = rank
+            else:
                 gap = F.abs(F.col("p") - F.col("q"))
                 both = rank.select("vid", "p").join(checked.select("vid", F.col("p").alias("q")), "vid")
-                if both.agg(F.sum(gap)).first()[0] < tolerance:
-                    break
+                gap_sum = both.agg(F.sum(gap)).first()[0]
+                drop_cut(checked)
                 checked = rank
+                if gap_sum < tolerance:
+                    break
+    placed.unpersist()
     return rank.select("vid", F.col("p").alias("probability"))
 
 

@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     # a patient holding a third of all events must not run as one task.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # What a Python task holds of its input at once, where rows are whole texts.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "33554432",
 }
 
 
@@ -96,6 +99,17 @@ def drop_cut(df: DataFrame) -> None:
         df.cut_path = None
 
 
+def keep_placed(df: DataFrame) -> DataFrame:
+    """Cache `df`, planned without runtime re-planning: later plans then know how it is partitioned and sorted."""
+    spark = df.sparkSession
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.select("*").persist()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: ends the lineage and keeps partitions and their row order as they are."""
     shared_dir(df.sparkSession)
