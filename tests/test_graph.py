@@ -112,3 +112,26 @@ def test_split_hub_gives_the_same_embedding(spark):
     one = pic.embed(pairs, rounds=4, rows_per_split=3).orderBy("id").select(F.round("x", 12)).collect()
     two = pic.embed(pairs, rounds=4).orderBy("id").select(F.round("x", 12)).collect()
     assert one == two
+
+
+def test_copies_count_as_on_all_pairs(spark):
+    """Four equal patients, three equal ones and a single one: the compact graph gives what all pairs give."""
+    import numpy as np
+
+    from cohortloom.functions.columns import hash_unit
+
+    members = [(i, 0) for i in range(4)] + [(i, 4) for i in range(4, 7)] + [(7, 7)]
+    weights = {(0, 4): 0.6, (4, 7): 0.3}
+    n = len(members)
+    full = np.zeros((n, n))
+    for i, (_, a) in enumerate(members):
+        for j, (_, b) in enumerate(members):
+            if i != j:
+                full[i, j] = 1.0 if a == b else weights.get((a, b), weights.get((b, a), 0.0))
+    start = spark.createDataFrame(members, "id BIGINT, set_id BIGINT")
+    x = np.array([r.x for r in start.withColumn("x", hash_unit("id")).orderBy("id").collect()])
+    for _ in range(3):
+        x = (full / full.sum(axis=1, keepdims=True)) @ x
+    pairs = spark.createDataFrame([(a, b, w) for (a, b), w in weights.items()], "src BIGINT, dst BIGINT, weight DOUBLE")
+    got = [r.x for r in pic.embed(pairs, rounds=3, members=start).orderBy("id").collect()]
+    assert got == pytest.approx(list(x / x.sum()))
