@@ -110,7 +110,7 @@ class Model:
     """`keys[k]`: sorted hashes of the n-grams of order k + 1; `logp[k]`: their log2 probabilities by language.
 
     `contexts[k]`, `backoff[k]`: likewise for the contexts of that order and the log2 of the mass
-    they hand to the shorter context. `floor`: log2 probability of a letter seen in no language.
+    they hand to the shorter context. `floor`: log2 of the uniform probability below the shortest order.
     """
 
     langs: list[str]
@@ -183,7 +183,7 @@ def kneser_ney(langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]]) ->
         by_order.insert(0, shorter)
     union = [np.unique(np.concatenate([k for k, _ in of] or [np.zeros(0, np.uint64)])) for of in by_order]
     alphabet = len(union[0]) + 1
-    floor = np.empty(len(langs))
+    floor = np.full(len(langs), 1.0 / alphabet)
     table: list[np.ndarray] = []
     contexts: list[np.ndarray] = []
     backoff: list[np.ndarray] = []
@@ -202,8 +202,6 @@ def kneser_ney(langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]]) ->
             mine[np.searchsorted(grams, keys)] = np.maximum(n - discount, 0) / total[np.searchsorted(ctx, keys >> np.uint64(16))]
             lower = table[-1][suffix, at] if k > 1 else np.full(len(grams), 1.0 / alphabet)
             p[:, at] = mine + bow[np.searchsorted(seen, grams >> np.uint64(16)), at] * lower
-            if k == 1:
-                floor[at] = (bow[0, at] if len(bow) else 1.0) / alphabet
         table.append(p)
         contexts.append(seen)
         backoff.append(bow)
