@@ -40,21 +40,23 @@ def tokens(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_WORD_BYTES).split()
 
 
-class Hasher:
+class Hasher(dict):
     """64-bit numbers of words, remembered up to a bound; hash(word) of Python differs between workers, so not that."""
 
     def __init__(self, most: int = 500_000):
         import xxhash
 
-        self.known, self.most, self.digest = {}, most, xxhash.xxh3_64_intdigest
+        super().__init__()
+        self.most, self.digest = most, xxhash.xxh3_64_intdigest
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = self.digest(word)
+        return number
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > self.most:
-            self.known = {}
-        known = self.known
-        for w in set(words).difference(known):
-            known[w] = self.digest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        if len(self) > self.most:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
