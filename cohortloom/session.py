@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,7 +75,30 @@ def shared_dir(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder; never reused, so retries cannot meet old files."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    for noted in _NOTED:
+        noted.append(path)
+    return path
+
+
+_NOTED: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def noted_paths() -> Iterator[list[str]]:
+    """A list that receives every path that `work_path` gives inside the block."""
+    paths: list[str] = []
+    _NOTED.append(paths)
+    try:
+        yield paths
+    finally:
+        _NOTED[:] = [x for x in _NOTED if x is not paths]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path of the shared folder, on whatever store it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -93,9 +118,7 @@ def drop_cut(df: DataFrame) -> None:
     """Remove the files behind a frame that `cut` returned, once a later table has taken its place."""
     path = getattr(df, "cut_path", None)
     if path is not None:
-        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(conf).delete(place, True)
+        remove(df.sparkSession, path)
         df.cut_path = None
 
 
