@@ -9,12 +9,15 @@ adding the sizes of the parts before gives a document's place in the whole.
 
 from __future__ import annotations
 
+import collections
+import itertools
 import os
 import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -30,55 +33,101 @@ WRITER = {
     "dictionary": {"parquet.enable.dictionary": "true", "parquet.dictionary.page.size": str(1 << 20)},
     "delta": {"parquet.enable.dictionary": "false", "parquet.writer.version": "PARQUET_2_0"},
 }
+#: Punctuation that ends a piece of letters before it and is a piece of its own.
+_BEHIND = b".,;:!?"
 _ENCODERS: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """A tokenizer of the tokenizers library with the ids of words met before, up to a bound.
+    """A tokenizer of the tokenizers library that remembers the ids of what it met before, up to a bound.
 
-    For tokenizers that drop white space: their pieces never reach over a white-space character,
-    so a text's ids are the ids of its words, cut at ASCII white space, one after the other.
+    For lower-casing tokenizers that drop white space: their pieces never reach over a white-space
+    character, so a text's ids are those of its words, cut at ASCII white space. A word of ASCII
+    letters with punctuation behind it is two pieces, the letters and the punctuation.
+    Pieces are known by 64-bit hashes, in sorted arrays. A-Z are lowered first, but not where a special
+    string, which is matched as written, may stand.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 2_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.most = most
+        # Whether the steps before the merges leave a word of lower-case ASCII letters as it is.
+        probes = ["a", "the", "tokenizer", "qzxjkv", "abcdefghijklmnopqrstuvwxyz", "aaaaaaaa"]
+        self.plain = all(
+            self.tokenizer.encode(p, add_special_tokens=False).ids == [t.id for t in self.tokenizer.model.tokenize(p)] for p in probes
+        )
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.begin, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-
-    def learn(self, words: set[bytes]) -> None:
-        new = list(words)
-        for a in range(0, len(new), 1000):
-            part = new[a : a + 1000]
-            coded = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            lists = [np.array(c.ids, np.int32) for c in coded]
-            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            self.begin = np.append(self.begin, len(self.ids) + np.cumsum(sizes) - sizes)
-            self.length = np.append(self.length, sizes)
-            self.ids = np.concatenate([self.ids, *lists])
-            self.known.update(zip(part, range(len(self.known), len(self.known) + len(part)), strict=True))
+        self.known = np.zeros(0, np.uint64)
+        self.begin, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each piece; words of lower-case ASCII letters need the library's merges alone."""
+        out: list[list[int]] = [[]] * len(pieces)
+        rest = []
+        for i, p in enumerate(pieces):
+            if self.plain and p.isalpha() and p.islower():
+                out[i] = [t.id for t in self.tokenizer.model.tokenize(p.decode())]
+            else:
+                rest.append(i)
+        for a in range(0, len(rest), 5000):
+            part = rest[a : a + 5000]
+            coded = self.batch([pieces[i].decode("utf-8", "replace") for i in part], add_special_tokens=False)
+            for i, c in zip(part, coded, strict=True):
+                out[i] = c.ids
+        return out
+
+    def find(self, pieces: list[bytes]) -> np.ndarray:
+        """Where each of the distinct pieces stands in the sorted arrays; new ones are encoded and put there."""
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, pieces), np.uint64, len(pieces))
+        at = np.searchsorted(self.known, hashes)
+        new = np.ones(len(pieces), bool)
+        inside = at < len(self.known)
+        new[inside] = self.known[at[inside]] != hashes[inside]
+        if new.any():
+            fresh, first = np.unique(hashes[new], return_index=True)
+            chosen = np.flatnonzero(new)[first].tolist()
+            lists = self.encode_pieces([pieces[i] for i in chosen])
+            sizes = np.fromiter(map(len, lists), np.int32, len(lists))
+            spots = np.searchsorted(self.known, fresh)
+            self.known = np.insert(self.known, spots, fresh)
+            self.begin = np.insert(self.begin, spots, len(self.ids) + np.cumsum(sizes, dtype=np.int64) - sizes)
+            self.length = np.insert(self.length, spots, sizes)
+            self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(sizes.sum()))])
+            at = np.searchsorted(self.known, hashes)
+        return at
 
     def encode(self, texts: list[bytes | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each followed by `end`; number of each text's ids, that one included)."""
         if len(self.known) > self.most:
             self.forget()
-        split = [(t or b"").split() for t in texts]
-        words = [w for ws in split for w in ws]
-        self.learn(set(words).difference(self.known))
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        sizes = self.length[at]
+        split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
+        numbers: collections.defaultdict[bytes, int] = collections.defaultdict()
+        numbers.default_factory = numbers.__len__
+        n = sum(map(len, split))
+        at = np.fromiter(map(numbers.__getitem__, itertools.chain.from_iterable(split)), np.int64, n)
+        halves: dict[bytes, int] = {b"": 0}
+        stems, tails = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+        for i, w in enumerate(numbers):
+            if w[-1] in _BEHIND and (stem := w.rstrip(_BEHIND)).isalpha():
+                tails[i] = halves.setdefault(w[len(stem) :], len(halves))
+                w = stem
+            stems[i] = halves.setdefault(w, len(halves))
+        pairs = np.stack([stems, tails], axis=1)
+        spots = self.find(list(halves))[pairs]
+        lengths, begins = self.length[spots].astype(np.int64), self.begin[spots]
         owner = np.repeat(np.arange(len(texts)), np.fromiter(map(len, split), np.int64, len(split)))
-        per_text = np.bincount(owner, weights=sizes, minlength=len(texts)).astype(np.int64)
-        begins = np.cumsum(sizes) - sizes
-        flat = self.ids[np.repeat(self.begin[at] - begins, sizes) + np.arange(int(sizes.sum()))]
+        per_text = np.bincount(owner, weights=lengths.sum(axis=1)[at], minlength=len(texts)).astype(np.int64)
+        sizes = lengths[at].ravel()
+        shift = begins[at].ravel() - (np.cumsum(sizes) - sizes)
+        flat = self.ids[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
         return np.insert(flat, np.cumsum(per_text), end), per_text + 1
 
 
@@ -128,7 +177,7 @@ def write(
     placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     coded = placed.mapInArrow(encode, f"doc_id {kind}, n_tokens BIGINT, part INT, offset BIGINT, ids ARRAY<INT>")
     options = WRITER[encoding] | {"parquet.block.size": str(row_group_bytes), "parquet.page.row.count.limit": str(page_rows)}
-    coded.write.options(**options, compression="zstd").parquet(path)
+    coded.write.options(**options, compression="snappy").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

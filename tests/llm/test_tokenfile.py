@@ -33,7 +33,7 @@ def key(r):
 def test_words_of_a_text_are_encoded_one_by_one():
     t, e = Tokenizer.from_file(PATH), tokenfile.Encoder(PATH)
     rng = random.Random(1)
-    alphabet = ["a", "B", "\u00e9", "e\u0301", "\u03a3", "'s", "'", "n't", " ", "\t", "\u00a0", "\u2028", "\x1c", "\x85", "7", "<|endoftext|>", "\u4e2d", "\U0001f600", "\u0301", "!", "\u0130"]
+    alphabet = ["a", "B", "\u00e9", "e\u0301", "\u03a3", "'s", "'", "n.t", "Word.", "End?!", "x.y.", "<|ENDOFTEXT|>", " ", "\t", "\u00a0", "\u2028", "\x1c", "\x85", "7", "<|endoftext|>", "\u4e2d", "\U0001f600", "\u0301", "!", "\u0130"]
     texts = ["".join(rng.choices(alphabet, k=rng.randrange(30))) for _ in range(3000)]
     ids, sizes = e.encode([x.encode() for x in texts], 1)
     ends = np.cumsum(sizes)
