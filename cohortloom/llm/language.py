@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm.text import free, pieces, strings
+from cohortloom.llm.text import decoded, free
 
 ORDER = 4
 SPACE = 32
-#: Characters handled at once inside a task.
-CHUNK = 2_000_000
+#: Bytes of text handled at once inside a task.
+CHUNK = 500_000
 #: Entries of the model's table of log probabilities, n-grams times languages: the bound of what is broadcast.
 MAX_ENTRIES = 8_000_000
 #: Odd constant of the multiplicative hash; a bijection on 64 bits, so equal hashes are equal n-grams.
@@ -72,7 +72,7 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, sizes, letters
 
 
-def count_ngrams(rows: DataFrame, text: str, lang: str, flush: int = 1_000_000) -> DataFrame:
+def count_ngrams(rows: DataFrame, text: str, lang: str, flush: int = 300_000) -> DataFrame:
     """(lang, key, n): n-gram counts of every language over all rows; combined per task, then summed by Spark.
 
     A task holds at most about `flush` counts and hands them on when it has more.
@@ -83,10 +83,9 @@ def count_ngrams(rows: DataFrame, text: str, lang: str, flush: int = 1_000_000)
         for batch in batches:
             langs = np.array(batch.column(1).to_pylist(), dtype=object)
             for name in sorted(set(langs)):
-                texts = strings(batch.column(0).filter(pa.array(langs == name)))
                 mine = held.setdefault(name, {})
-                for a, b in pieces([len(t) for t in texts], CHUNK):
-                    keys, n = np.unique(ngrams(texts[a:b])[0], return_counts=True)
+                for texts in decoded(batch.column(0).filter(pa.array(langs == name)), CHUNK):
+                    keys, n = np.unique(ngrams(texts)[0], return_counts=True)
                     for key, k in zip(keys.view(np.int64).tolist(), n.tolist(), strict=True):
                         mine[key] = mine.get(key, 0) + k
             if sum(map(len, held.values())) > flush:
@@ -284,9 +283,9 @@ def entropies(spark: SparkSession, text: Column, model: Model) -> Column:
 
     @F.arrow_udf("struct<letters: long, bits: array<double>>")
     def measured(column: pa.Array) -> pa.Array:
-        texts, out, n = strings(column), [], []
-        for a, b in pieces([len(t) for t in texts], CHUNK):
-            bits, letters = shared.value.entropies(texts[a:b])
+        out, n = [], []
+        for texts in decoded(column, CHUNK):
+            bits, letters = shared.value.entropies(texts)
             out += bits.tolist()
             n += letters.tolist()
         return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(out, pa.list_(pa.float64()))], ["letters", "bits"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,13 @@ def pieces(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield at, len(sizes)
 
 
+def decoded(column: pa.Array, most: int) -> Iterator[list[str]]:
+    """The texts of a column, in lists of about `most` bytes together."""
+    sizes = [n or 0 for n in pc.binary_length(column).to_pylist()]
+    for a, b in pieces(sizes, most):
+        yield strings(column.slice(a, b - a))
+
+
 def free(df: DataFrame, name: str) -> str:
     """`name`, or that with underscores before it until `df` has no such column in any case."""
     taken = {c.lower() for c in df.columns}

@@ -25,7 +25,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from cohortloom.llm.text import pieces, strings
+from cohortloom.llm.text import decoded
 
 # Character classes. The letters of the contractions 's 't 'm 'd, 're, 've, 'll stand apart.
 LETTER, SHORT, R, V, EL, E, NUMBER, BLANK, WHITE, QUOTE, SIGN, END = range(12)
@@ -38,7 +38,7 @@ HERE, BEFORE = 1, 2  # a pre-token begins at this character; at the one before
 #: The code points of Unicode's White_Space property.
 SPACES = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _LETTERS = {LETTER, SHORT, R, V, EL, E}
-#: Characters of a chunk, and characters handled at once inside a task.
+#: Characters of a chunk, and twice the bytes of text handled at once inside a task.
 CHUNK = 128
 BATCH = 1_000_000
 #: Pre-tokens remembered per worker.
@@ -238,8 +238,8 @@ def token_count(text: Column, vocabulary: str) -> Column:
 
     @F.arrow_udf(LongType())
     def counted(column: pa.Array) -> pa.Array:
-        run, texts = machine(vocabulary), strings(column)
-        out = [run.count(texts[a:b]) for a, b in pieces([len(t) for t in texts], BATCH // 2)]
+        run = machine(vocabulary)
+        out = [run.count(texts) for texts in decoded(column, BATCH // 2)]
         return pa.array(np.concatenate(out or [np.zeros(0, np.int64)]))
 
     return counted(text)
