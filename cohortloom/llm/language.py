@@ -1,10 +1,10 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 Every language has a character model of order four. Counting is a Spark aggregation over all
-training texts. The estimate is computed once from the aggregated counts and stored as sorted
-arrays: a mixed 64-bit hash of each n-gram seen in any language, and beside it one log probability
-per language, already interpolated. A text gets the language with the lowest cross-entropy per
-character; two calibrated rules turn that into a score and a rejection.
+training texts, and the estimate a few joins over all counts. It is stored as sorted arrays in
+files that the executors map: a mixed 64-bit hash of each n-gram seen in any language, and beside it
+one log probability per language, already interpolated. A text gets the language with the lowest
+cross-entropy per character; two calibrated rules turn that into a score and a rejection.
 
 Texts are reduced to lower-case letters, with one space for any run of other characters. An n-gram
 is the letter with the three characters before it, spaces before the start, 16 bits each; letters
@@ -14,22 +14,25 @@ outside the basic plane count as one letter, U+FFFD.
 from __future__ import annotations
 
 import dataclasses
+import os
+import tempfile
 import unicodedata
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.llm.text import decoded, free
+from cohortloom.session import cut, drop_cut
 
 ORDER = 4
 SPACE = 32
 #: Bytes of text handled at once inside a task.
 CHUNK = 500_000
-#: Entries of the model's table of log probabilities, n-grams times languages: the bound of what is broadcast.
-MAX_ENTRIES = 8_000_000
 #: Odd constant of the multiplicative hash; a bijection on 64 bits, so equal hashes are equal n-grams.
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _MASK = [np.uint64((1 << 16 * k) - 1) for k in range(ORDER)] + [np.uint64(0xFFFFFFFFFFFFFFFF)]
@@ -110,6 +113,8 @@ class Model:
 
     `contexts[k]`, `backoff[k]`: likewise for the contexts of that order and the log2 of the mass
     they hand to the shorter context. `floor`: log2 of the uniform probability below the shortest order.
+    `files`: the name under which Spark gives every executor the arrays, if they are in files; the
+    model then travels without them and maps them where it arrives.
     """
 
     langs: list[str]
@@ -120,6 +125,16 @@ class Model:
     floor: np.ndarray
     beta: float = 1.0
     cutoff: np.ndarray = dataclasses.field(default_factory=lambda: np.zeros(0))
+    files: str = ""
+
+    def __getstate__(self) -> dict:
+        mapped = ("keys", "logp", "contexts", "backoff") if self.files else ()
+        return {k: v for k, v in self.__dict__.items() if k not in mapped}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        if self.files:
+            self.keys, self.logp, self.contexts, self.backoff = _mapped(self.files, len(self.langs))
 
     def log2_probabilities(self, keys: np.ndarray, order: int = ORDER) -> np.ndarray:
         """(len(keys), languages) for distinct n-grams of `order`; unseen ones by the shorter context."""
@@ -164,6 +179,18 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table[at] == hashed
 
 
+def _mapped(name: str, langs: int) -> list[list[np.ndarray]]:
+    """keys, logp, contexts and backoff of a model, mapped from the files that Spark has brought here."""
+    out: list[list[np.ndarray]] = [[], [], [], []]
+    for part in range(2 * ORDER):
+        first = 0 if part < ORDER else 2
+        for at, (kind, dtype, width) in enumerate((("keys", np.uint64, 0), ("values", np.float32, langs))):
+            path = SparkFiles.get(f"{name}-{part}-{kind}")
+            flat = np.memmap(path, dtype, "r") if os.path.getsize(path) else np.zeros(0, dtype)
+            out[first + at].append(flat.reshape(-1, width) if width else flat)
+    return out
+
+
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys in order, the sum of their values, how often each occurs."""
     distinct, at, n = np.unique(keys, return_inverse=True, return_counts=True)
@@ -171,7 +198,7 @@ def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def kneser_ney(langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]]) -> Model:
-    """Interpolated Kneser-Ney from the highest-order counts (keys, n) of every language.
+    """Interpolated Kneser-Ney from the highest-order counts (keys, n) of every language, in memory; see `estimate`.
 
     Shorter n-grams count the different characters found before them. One discount per order and
     language, n1 / (n1 + 2 n2); the shortest order is interpolated with the uniform distribution.
@@ -218,34 +245,102 @@ def kneser_ney(langs: list[str], counts: list[tuple[np.ndarray, np.ndarray]]) ->
     )
 
 
+def _values(name: str, langs: list[str]) -> list[str]:
+    return [f"{name}{i}" for i in range(len(langs))]
+
+
+def estimate(counts: DataFrame, langs: list[str]) -> Model:
+    """The model of `kneser_ney` from (lang, key, n) of any number, by Spark; the arrays go to files.
+
+    A row holds an n-gram with one value per language. The driver sees the discounts and, one after
+    the other, the packed pieces of the sorted result.
+    """
+    n, t, y, p, m = (_values(x, langs) for x in "ntypm")
+    wide = {ORDER: cut(counts.groupBy("key").agg(*[F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(c) for x, c in zip(langs, n, strict=True)]))}
+    for k in range(ORDER - 1, 0, -1):
+        shorter = F.col("key").bitwiseAND(F.lit(int(_MASK[k])))
+        wide[k] = cut(wide[k + 1].groupBy(shorter.alias("key")).agg(*[F.sum((F.col(c) > 0).cast("long")).alias(c) for c in n]))
+    floor = 1.0 / (wide[1].count() + 1)
+    lower = None
+    tables, done = [], list(wide.values())
+    for k in range(1, ORDER + 1):
+        ones = wide[k].agg(*[F.sum((F.col(c) == v).cast("long")) for v in (1, 2) for c in n]).first()
+        discount = [a / (a + 2 * b) if a and b else 0.5 for a, b in zip(ones[: len(n)], ones[len(n) :], strict=True)]
+        ctx = F.shiftrightunsigned("key", 16)
+        totals = wide[k].groupBy(ctx.alias("ctx")).agg(
+            *[F.sum(c).alias(x) for c, x in zip(n, t, strict=True)], *[F.sum((F.col(c) > 0).cast("long")).alias(x) for c, x in zip(n, y, strict=True)]
+        )
+        left = [F.when(F.col(a) > 0, d * F.col(b) / F.col(a)).otherwise(1.0) for a, b, d in zip(t, y, discount, strict=True)]
+        rows = wide[k].withColumn("ctx", ctx).join(totals if k > 1 else F.broadcast(totals), "ctx")  # one row of no letters
+        if k > 1:
+            rows = rows.withColumn("suffix", F.col("key").bitwiseAND(F.lit(int(_MASK[k - 1])))).join(
+                lower.select(F.col("key").alias("suffix"), *[F.col(a).alias(b) for a, b in zip(p, m, strict=True)]), "suffix"
+            )
+        known = [F.when(F.col(a) > 0, F.greatest(F.col(c) - d, F.lit(0.0)) / F.col(a)).otherwise(0.0) for a, c, d in zip(t, n, discount, strict=True)]
+        below = [F.col(c) if k > 1 else F.lit(floor) for c in m]
+        lower = cut(rows.select("key", *[(a + b * c).alias(x) for a, b, c, x in zip(known, left, below, p, strict=True)]))
+        done.append(lower)
+        logs = lambda cols: F.array(*[F.log2(c).cast("float") for c in cols]).alias("logs")
+        tables.append(lower.select(F.lit(k - 1).alias("part"), "key", logs(map(F.col, p))))
+        tables.append(totals.select(F.lit(ORDER + k - 1).alias("part"), F.col("ctx").alias("key"), logs(left)))
+    whole = tables[0]
+    for one in tables[1:]:
+        whole = whole.unionByName(one)
+    name = _to_files(whole)
+    for one in done:
+        drop_cut(one)
+    arrays = _mapped(name, len(langs))
+    return Model(langs, *arrays, np.full(len(langs), np.log2(floor), np.float32), files=name)
+
+
+def _to_files(rows: DataFrame) -> str:
+    """Give (part, key, logs) to all executors as two files a part, by hash of the key; their common name."""
+    sign = np.uint64(1 << 63)  # Spark sorts signed numbers
+
+    @F.arrow_udf("long")
+    def place(keys: pa.Array) -> pa.Array:
+        return pa.array((_hashed(keys.to_numpy(zero_copy_only=False).view(np.uint64)) ^ sign).view(np.int64))
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = batch.column(0).to_numpy(zero_copy_only=False)
+            hashed = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64) ^ sign
+            starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+            for a, b in zip(starts, starts[1:]):
+                logs = batch.column(2).slice(a, b - a).flatten().to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part[a]], pa.int32()), pa.array([hashed[a:b].tobytes()]), pa.array([logs.tobytes()])], ["part", "keys", "values"]
+                )
+
+    spark = rows.sparkSession
+    placed = rows.select("part", place("key").alias("place"), "logs").orderBy("part", "place")
+    name = f"characters-{uuid.uuid4().hex[:12]}"
+    folder = tempfile.mkdtemp(dir=SparkFiles.getRootDirectory())  # goes with the session
+    paths = {(part, kind): os.path.join(folder, f"{name}-{part}-{kind}") for part in range(2 * ORDER) for kind in ("keys", "values")}
+    for path in paths.values():
+        open(path, "wb").close()
+    for row in placed.mapInArrow(pack, "part INT, keys BINARY, values BINARY").toLocalIterator():
+        for kind in ("keys", "values"):
+            with open(paths[row["part"], kind], "ab") as out:
+                out.write(row[kind])
+    for path in paths.values():
+        spark.sparkContext.addFile(path)
+    return name
+
+
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", calibration: Column | None = None) -> Model:
     """Train on the rows with a text and a language; rows where `calibration` holds set the two rules instead.
 
-    The counts cover all rows. If they hold more than MAX_ENTRIES n-grams times languages, the rarest
-    n-grams give way (the smallest count that fits is found from the counts of counts); their mass
-    then goes to the shorter contexts. Nothing else is bounded. No rows give a model of no language,
+    The model holds every n-gram of those rows, however many. No rows give a model of no language,
     under which every text is `und`.
     """
-    from cohortloom.session import cut
-
     held = F.coalesce(calibration, F.lit(False)) if calibration is not None else F.lit(False)
     counts = cut(count_ngrams(rows.filter(~held), text, lang))
     langs = sorted(r[0] for r in counts.select("lang").distinct().collect())  # one row per language
-    most = MAX_ENTRIES // max(1, len(langs))
-    sizes = counts.groupBy("n").agg(F.count("*").alias("grams")).filter("n <= 1000").orderBy("n").collect()  # 1000 at most
-    total, least = counts.count(), 1
-    for r in sizes:
-        if total <= most:
-            break
-        total, least = total - r["grams"], r["n"] + 1
-    kept = counts.filter(F.col("n") >= least).toPandas()
-    per_lang = []
-    for name in langs:
-        mine = kept[kept["lang"] == name].sort_values("key")
-        keys = mine["key"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        per_lang.append((keys[order], mine["n"].to_numpy(np.float64)[order]))
-    model = kneser_ney(langs, per_lang)
+    model = estimate(counts, langs) if langs else kneser_ney([], [])
+    drop_cut(counts)
     model.cutoff = np.full(len(langs), np.inf)
     return calibrated(rows.filter(held), text, lang, model) if calibration is not None and langs else model
 
@@ -279,7 +374,7 @@ def calibrated(rows: DataFrame, text: str, lang: str, model: Model) -> Model:
 
 def entropies(spark: SparkSession, text: Column, model: Model) -> Column:
     """struct<letters, bits>: bits per character under every language of the model."""
-    shared = spark.sparkContext.broadcast(model)  # MAX_ENTRIES bounds it
+    shared = spark.sparkContext.broadcast(model)  # without the arrays, which are in files
 
     @F.arrow_udf("struct<letters: long, bits: array<double>>")
     def measured(column: pa.Array) -> pa.Array:

@@ -1,6 +1,7 @@
 """Kneser-Ney models against a plain version, and held-out accuracy."""
 
 import math
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -105,3 +106,31 @@ def test_nothing_learned_and_nothing_to_read(spark):
     taught = language.fit(spark.createDataFrame([("some text", "en")], "text STRING, lang STRING"))
     got = {r["id"]: r["language"] for r in language.identify(df, taught).collect()}
     assert got[1]["lang"] == "en" and got[2]["lang"] == "und" and got[2]["score"] == 0
+
+
+def test_the_estimate_by_spark_equals_the_one_in_memory(spark):
+    rows = [(t, name) for name, texts in TEXTS.items() for t in texts]
+    model = language.fit(spark.createDataFrame(rows, "text STRING, lang STRING"))
+    per_lang = []
+    for name in sorted(TEXTS):
+        keys, n = np.unique(language.ngrams(TEXTS[name])[0], return_counts=True)
+        per_lang.append((keys, n.astype(float)))
+    want = language.kneser_ney(sorted(TEXTS), per_lang)
+    for mine, other in ((model.keys, want.keys), (model.contexts, want.contexts)):
+        assert [x.tolist() for x in mine] == [x.tolist() for x in other]
+    for mine, other in ((model.logp, want.logp), (model.backoff, want.backoff)):
+        assert all(x == pytest.approx(y, abs=1e-5) for x, y in zip(mine, other, strict=True))
+    assert model.floor == pytest.approx(want.floor)
+
+
+def test_a_rare_language_beside_a_hot_one(spark, monkeypatch):
+    """No n-gram gives way, whatever the number: the bound that there was is set far below the counts."""
+    monkeypatch.setattr(language, "MAX_ENTRIES", 2000, raising=False)
+    rng = random.Random(6)
+    hot = ["".join(rng.choices("abcdefghij ", k=3000)) for _ in range(40)]
+    rare = "klmnop qrstuv wxyz klqrwx mnstyz"
+    df = spark.createDataFrame([(t, "hot") for t in hot] + [(rare, "rare")], "text STRING, lang STRING")
+    model = language.fit(df)
+    assert len(model.keys[3]) == len(np.unique(language.ngrams([*hot, rare])[0]))
+    got = language.identify(spark.createDataFrame([("qrstuv klmnop wxyz",), (hot[0],)], "text STRING"), model).collect()
+    assert [r["language"]["lang"] for r in got] == ["rare", "hot"]
