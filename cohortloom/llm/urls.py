@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from cohortloom.llm.text import free
 from cohortloom.session import cut
 
-#: Labelled URLs that the trees are fitted on, at most: those with the smallest hashes.
+#: Distinct labelled URLs that the trees are fitted on, about at most: those with the smallest hashes, weighted by their rows.
 SAMPLE = 20_000
 #: Hash buckets of host endings.
 ENDINGS = 4096
@@ -98,21 +98,23 @@ class Filter:
         """`labelled` has a URL and `allow` or `block`; null URLs and other labels are left out."""
         rows = labelled.select(F.col(url).alias("url"), (F.col(label) == "block").cast("double").alias("label"))
         rows = rows.filter(F.col("url").isNotNull() & F.col("label").isNotNull())
-        n = rows.count()
-        draw = F.pmod(F.xxhash64("url", F.lit("sample")), F.lit(1 << 20))
-        part = (1 << 20) if n <= sample else int((1 << 20) * sample / n)
-        rows = cut(rows.filter(draw < part))
-        classes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}  # two rows
+        rows = cut(rows.groupBy("url", "label").agg(F.count("*").cast("double").alias("weight")))
+        classes = {r["label"]: r["rows"] for r in rows.groupBy("label").agg(F.sum("weight").alias("rows")).collect()}  # two rows
         self.prior = classes.get(1.0, 0) / max(1, sum(classes.values()))
         self.model, self.only = None, "block" if set(classes) == {1.0} else "allow"
+        # Over all labelled rows; the sample below is for the trees alone.
         shares = rows.groupBy(ending(host_of(F.col("url"))).alias("ending_bucket")).agg(
-            ((F.sum("label") + 10 * self.prior) / (F.count("*") + 10)).alias("ending")
+            ((F.sum(F.col("label") * F.col("weight")) + 10 * self.prior) / (F.sum("weight") + 10)).alias("ending")
         )
         self.endings = cut(shares)
         if len(classes) == 2:
-            table = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(features(rows, self.endings, "url", self.prior))
-            fitted = cut(table.select("features", "label"))
-            self.model = GBTClassifier(maxIter=rounds, maxDepth=depth, seed=7, checkpointInterval=-1).fit(fitted)
+            n = rows.count()
+            draw = F.pmod(F.xxhash64("url", F.lit("sample")), F.lit(1 << 20))
+            part = (1 << 20) if n <= sample else int((1 << 20) * sample / n)
+            drawn = rows.filter(draw < part)
+            table = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(features(drawn, self.endings, "url", self.prior))
+            fitted = cut(table.select("features", "label", "weight"))
+            self.model = GBTClassifier(maxIter=rounds, maxDepth=depth, seed=7, checkpointInterval=-1, weightCol="weight").fit(fitted)
 
     def probabilities(self, urls: DataFrame, url: str, name: str) -> DataFrame:
         """`urls` with `name`, the probability of `block`."""

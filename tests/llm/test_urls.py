@@ -55,3 +55,19 @@ def test_one_class_and_none(spark):
     df = spark.createDataFrame([("http://a/", "block"), (None, "allow")], "url STRING, verdict STRING")
     assert urls.Filter(df).probabilities(df, "url", "p").agg(F.min("p")).collect()[0][0] == 1.0
     assert urls.Filter(df.filter("false")).probabilities(df, "url", "p").agg(F.max("p")).collect()[0][0] == 0.0
+
+
+def test_shares_of_endings_cover_all_labelled_rows(spark):
+    """Also where the trees see a few of them, and where one URL holds a third of the rows."""
+    rows = [(f"http://h{i}.net/{k}", "block" if i % 2 else "allow") for i in range(100) for k in range(4)]
+    rows += [("http://hot.org/", "block")] * 200
+    trees = urls.Filter(spark.createDataFrame(rows, "url STRING, verdict STRING"), rounds=1, depth=1, sample=50)
+    prior = 400 / 600
+    assert abs(trees.prior - prior) < 1e-12
+    bucket = urls.ending(urls.host_of(F.col("url")))
+    found = spark.createDataFrame(rows, "url STRING, verdict STRING").groupBy(bucket.alias("ending_bucket")).agg(
+        F.sum((F.col("verdict") == "block").cast("double")).alias("blocked"), F.count("*").alias("n")
+    )
+    want = {r["ending_bucket"]: (r["blocked"] + 10 * prior) / (r["n"] + 10) for r in found.collect()}
+    got = {r["ending_bucket"]: r["ending"] for r in trees.endings.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
