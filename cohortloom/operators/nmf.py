@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.columns import argmax_index
 from cohortloom.operators.matrix import GUARD, factor_columns, factor_gram, project, start_factor
-from cohortloom.session import cut
+from cohortloom.session import cut, drop_cut
 
 
 @dataclass
@@ -71,11 +71,14 @@ def factorize(entries: DataFrame, k: int, max_rounds: int = 99, tolerance: float
         hh, cross = _gram_and_cross(h, k)
         out = Factors(w, h, [_half_distance(squares, cross, ww, hh)])
         for _ in range(max_rounds):
+            before = out.w, out.h
             out.w = cut(update_factor(entries, out.w, out.h, "row", "col", hh, GUARD))
             ww = factor_gram(out.w, k)
             out.h = cut(update_factor(entries, out.h, out.w, "col", "row", ww, 1e-10))
             hh, cross = _gram_and_cross(out.h, k)
             out.errors.append(_half_distance(squares, cross, ww, hh))
+            for left in before:
+                drop_cut(left)
             if abs(out.errors[-1] - out.errors[-2]) <= tolerance:
                 break
         return out

@@ -141,7 +141,7 @@ def nmf_assign(spark, d):
 @query("nmf")
 def nmf_rounds(spark, d):
     """(round, error) of a factorisation."""
-    factors = nmf.factorize(_entries(spark, d), K, max_rounds=8)
+    factors = nmf.factorize(_entries(spark, d), K)
     return spark.createDataFrame(list(enumerate(factors.errors)), "round INT, error DOUBLE")
 
 
@@ -252,7 +252,7 @@ def phenotype_clustering(spark, d):
         cluster.gmm(projected).select(F.lit("gmm").alias("method"), F.col("id").alias("patient_id"), "cluster"),
     ]
     entries = tuples.select(F.col("patient_id").alias("row"), F.col("idx").alias("col"), "value")
-    factors = nmf.factorize(entries, K, max_rounds=5)
+    factors = nmf.factorize(entries, K)
     parts.append(
         nmf.assign(factors.w, K).select(F.lit("nmf").alias("method"), F.col("row").alias("patient_id"), "cluster")
     )

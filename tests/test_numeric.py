@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions import ordered
 from cohortloom.operators import cluster, evaluate, nmf, relational, sgd
+from cohortloom.plans import QUERIES
 from cohortloom.session import work_path
 from cohortloom.streaming import kmeans as stream
 
@@ -180,3 +181,21 @@ def test_hot_lookup_key_gets_its_own_shuffle(spark):
         assert joined.filter("k = 0").select("top").distinct().collect()[0].top == 1998
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("name", ["nmf", "phenotype_clustering"])
+def test_registered_factorisations_run_to_the_end(spark, monkeypatch, name):
+    """With the operator's own rounds and tolerance."""
+    seen = []
+
+    class Reached(Exception):
+        pass
+
+    def factorize(entries, k, *args, **kwargs):
+        seen.append((k, args, kwargs))
+        raise Reached
+
+    monkeypatch.setattr(nmf, "factorize", factorize)
+    with pytest.raises(Reached):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert seen == [(3, (), {})]
