@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import decontaminate, language, licenses, mixing, quality, simhash, tokencount, tokenfile, urls, warc
+from cohortloom.llm import (
+    decontaminate,
+    language,
+    licenses,
+    mixing,
+    quality,
+    runs,
+    simhash,
+    substrings,
+    tokencount,
+    tokenfile,
+    urls,
+    warc,
+    whitening,
+)
+from cohortloom.llm.text import words
 from cohortloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,3 +233,73 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", F.size(names).cast("long").alias("n_licenses"), F.array_join(names, ",").alias("licenses"), best.alias("best")
     )
+
+
+def with_period(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): a tenth of the documents, by crc32 of the id, goes on from a word with a period.
+
+    From word a on, word i becomes word a + (i - a) % p of the same text. Other texts, and all with a null id, stay.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    cut = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words("text")).alias("w"))
+    n = F.when(F.size("w") > 0, F.size("w"))
+    cut = cut.withColumn("a", (F.col("g") % n).cast("int"))
+    cut = cut.withColumn("p", (F.lit(1) + F.floor((n - F.col("a")) / (F.lit(3) + F.col("g") % 8))).cast("int"))
+    repeated = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(F.get("w", F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return cut.select("doc_id", F.coalesce(F.array_join(repeated, " "), "text").alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document."""
+    found = runs.find(with_period(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = found.withColumn("best", runs.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query(
+    "op12_substring_dedup",
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    win AS (SELECT r, doc_id, k, md5(array_to_string(w[k:k + 49], ' ')) AS s FROM d, unnest(range(1, len(w) - 48)) t(k) WHERE doc_id IS NOT NULL),
+    own AS (SELECT s, min(doc_id) AS least FROM win GROUP BY s HAVING min(doc_id) < max(doc_id)),
+    places AS (SELECT r, list(DISTINCT p) AS gone FROM win JOIN own USING (s), unnest(range(k, k + 50)) t(p) WHERE least < doc_id GROUP BY r),
+    kept AS (SELECT r, string_agg(w[p], ' ' ORDER BY p) AS text, count(*) AS n
+             FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS p, coalesce(gone, []) AS gone FROM d LEFT JOIN places USING (r))
+             WHERE NOT list_contains(gone, p) GROUP BY r)
+    SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM d LEFT JOIN kept USING (r)
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a window of a document with a smaller id."""
+    found = substrings.dedup(table(spark, sf_dir, "documents"))
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return found.select("doc_id", "n_words", n_removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leading 32 whitened components of every embedding."""
+    white, model, error = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    shares = F.array(*[F.lit(float(e / model.trace)) for e in model.values]).cast("array<double>")
+    long = white.select("vec_id", "deviation", F.posexplode("whitened").alias("k", "whitened"))
+    return long.select(
+        "vec_id",
+        (F.col("k") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("k")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.session import cut
@@ -64,3 +65,20 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
 def words(text: str | Column) -> Column:
     """array<string>: the words of the contracts, natively; null has none."""
     return F.filter(F.split(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+
+@contextlib.contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for a block, dots written as two underscores; what was set before comes back."""
+    keys = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -33,7 +33,7 @@ def documents(longest=3_000):
     return rows
 
 
-def write(folder, rows=None, items=None, pages=None, labels=None):
+def write(folder, rows=None, items=None, pages=None, labels=None, vectors=None):
     """Parquet files of the tables used here; None means the edge cases, [] an empty table."""
     rows = documents() if rows is None else rows
     d, t, lang, s = (list(x) for x in zip(*rows)) if rows else ([], [], [], [])
@@ -58,4 +58,9 @@ def write(folder, rows=None, items=None, pages=None, labels=None):
         labels = [(r[0], k % 2, 0) for k, r in enumerate(rows)] + [(None, 1, 0), (999, 1, None), (9, None, 1)]
     a, b, c = (list(v) for v in zip(*labels)) if labels else ([], [], [])
     pq.write_table(pa.table({"doc_id": pa.array(a, pa.int64()), "quality": pa.array(b, pa.int32()), "toxic": pa.array(c, pa.int32())}), os.path.join(folder, "labels.parquet"))
+    if vectors is None:
+        rng = random.Random(3)
+        vectors = [(k, [rng.gauss(0, 1) for _ in range(8)]) for k in range(50)] + [(None, [0.5] * 8), (60, None), (61, [None] * 8), (62, [float("nan")] * 8), (63, []), (3, [1e30] * 8)]
+    i, v = (list(x) for x in zip(*vectors)) if vectors else ([], [])
+    pq.write_table(pa.table({"vec_id": pa.array(i, pa.int64()), "embedding": pa.array(v, pa.list_(pa.float32())), "deviation": pa.array([""] * len(i))}), os.path.join(folder, "embeddings.parquet"))
     return str(folder)

