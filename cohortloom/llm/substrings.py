@@ -253,7 +253,8 @@ def _intervals(size: int, bits: int):
             found: list[dict[str, int]] = []
             if doc is not None and len(words) >= size and len(told[0]):
                 h = hashers[0](words).view(np.int64)
-                near = np.flatnonzero(np.isin(h, told[0]))
+                at = np.minimum(np.searchsorted(told[0], h), len(told[0]) - 1)
+                near = np.flatnonzero(told[0][at] == h)
                 if len(near):
                     g = hashers[1](words).view(np.int64)[near]
                     gone = near[_owned(h[near], g, told) < doc]
@@ -263,11 +264,11 @@ def _intervals(size: int, bits: int):
                         found = [{"start": a, "length": b} for a, b in zip(first.tolist(), (last - first + size).tolist(), strict=True)]
             counts.append(len(words))
             spans.append(found)
-            rest, at = [], 0
+            rest, done = [], 0
             for s in found:
-                rest += words[at : s["start"]]
-                at = s["start"] + s["length"]
-            kept.append(b" ".join(rest + words[at:] if found else words))
+                rest += words[done : s["start"]]
+                done = s["start"] + s["length"]
+            kept.append(b" ".join(rest + words[done:] if found else words))
         return pa.table(
             {"doc_id": left.column("id"), "n_words": pa.array(counts, pa.int64()), "removed": pa.array(spans, span_type), "kept": pa.array(kept, pa.binary())}
         )
