@@ -44,44 +44,72 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 class Numbers(dict):
-    """64-bit numbers of words, remembered up to a bound."""
+    """A place in `table` for each word, which has two independent 64-bit numbers there; remembered up to a bound."""
 
-    def __init__(self, seed: int, most: int):
+    def __init__(self, most: int = 200_000):
         super().__init__()
-        self.seed, self.most = seed, most
+        self.most, self.table = most, np.zeros((2, 1024), np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        number = self[word] = xxhash.xxh3_64_intdigest(word, self.seed)
-        return number
+        k = len(self)
+        if k == self.table.shape[1]:
+            self.table = np.hstack((self.table, np.zeros_like(self.table)))
+        digest = xxhash.xxh3_128_intdigest(word)
+        self.table[0, k], self.table[1, k] = digest >> 64, digest & 0xFFFFFFFFFFFFFFFF
+        self[word] = k
+        return k
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
+        """Both numbers of each word, as two rows."""
         if len(self) > self.most:
             self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.table[:, places]
 
 
 class Rolling:
-    """Hashes of all windows of `size` words."""
+    """Hashes of all windows of `size` numbers in a row."""
 
-    def __init__(self, size: int, seed: int, bits: int = 64, most: int = 200_000):
-        self.size, self.bits, self.numbers = size, bits, Numbers(seed, most)
-        self.base = _BASES[seed]
+    def __init__(self, size: int, which: int, bits: int = 64):
+        self.size, self.bits, self.base = size, bits, _BASES[which]
         self.inverse = np.uint64(pow(int(self.base), -1, 1 << 64))
         self.up = self.down = np.zeros(0, np.uint64)
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        """One hash for each place at which `size` words begin; empty if there are fewer words."""
-        n = len(words)
+    def __call__(self, u: np.ndarray) -> np.ndarray:
+        """One hash for each place at which `size` numbers begin; empty if there are fewer."""
+        n = len(u)
         if n < self.size:
             return np.zeros(0, np.uint64)
         if len(self.up) < n:
             self.up, self.down = _powers(self.base, n), _powers(self.inverse, n)
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.numbers(words) * self.up[:n], dtype=np.uint64)))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(u * self.up[:n], dtype=np.uint64)))
         out = (sums[self.size :] - sums[: -self.size]) * self.down[: n - self.size + 1]
         out ^= out >> np.uint64(32)
         return out >> np.uint64(64 - self.bits) if self.bits < 64 else out
 
 
+class Windows:
+    """The windows of texts and their hashes; keeps what it has learned of words between calls."""
+
+    def __init__(self, size: int, bits: int):
+        self.size, self.numbers = size, Numbers()
+        self.hashers = Rolling(size, 0, bits), Rolling(size, 1)
+
+    def __call__(self, held: list[list[bytes]], ids: list[int | None]):
+        """(place, document, first hash) of every window of texts that have an id, and the second hashes of some of them by number.
+
+        Places count the words of all texts in a row.
+        """
+        u = self.numbers([w for words in held for w in words])
+        sizes = np.fromiter(map(len, held), np.int64, len(held))
+        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(u.shape[1])
+        known = np.repeat(np.array([i is not None for i in ids], bool), sizes)
+        at = np.flatnonzero((left >= self.size) & known)
+        docs = np.repeat(np.array([i or 0 for i in ids], np.int64), sizes)[at]
+        first = self.hashers[0](u[0])
+        return at, docs, first[at] if len(at) else np.zeros(0, np.uint64), lambda some: self.hashers[1](u[1])[at[some]]
+
+
 def _deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with the number of their batch: neighbours with about BATCH bytes of text together."""
     number = TaskContext.get().partitionId() << 33
@@ -93,61 +121,44 @@ def _deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             number += 1
 
 
-def _first_rows(keys: list[np.ndarray], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of the distinct keys, the smallest document of each, and whether it has several."""
-    order = np.lexsort((docs, *reversed(keys)))
+def _rows(keys: list[np.ndarray], docs: np.ndarray, src: int) -> pa.RecordBatch:
+    """A row for each distinct key: the key, twice the batch's number, plus 1 if several documents have it, and the smallest."""
+    order = np.argsort(keys[0]) if len(keys) == 1 else np.lexsort(keys[::-1])
     new = np.ones(len(order), bool)
     new[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0)
     starts = np.flatnonzero(new)
-    ends = np.append(starts[1:], len(order)) - 1
-    low, high = docs[order[starts]], docs[order[ends]]
-    at = np.argsort(order[starts], kind="stable")  # back in the order of the texts, which compresses better
-    return order[starts][at], low[at], (low != high)[at]
-
-
-def _rows(keys: list[np.ndarray], docs: np.ndarray, src: int) -> pa.RecordBatch:
-    """A row for each distinct key: the key, twice the batch's number, plus 1 if several documents have it, and the smallest."""
-    at, low, many = _first_rows(keys, docs)
-    columns = [pa.array(k[at].view(np.int64)) for k in keys] + [pa.array((src << 1) + many.astype(np.int64)), pa.array(low)]
+    low, high = (f.reduceat(docs[order], starts) for f in (np.minimum, np.maximum))
+    # Rows in the order of the texts, which compresses better than that of the hashes.
+    lows, highs, one = np.zeros_like(docs), np.zeros_like(docs), np.zeros(len(docs), bool)
+    lows[order[starts]], highs[order[starts]], one[order[starts]] = low, high, True
+    many = (lows != highs)[one].astype(np.int64)
+    columns = [pa.array(k[one].view(np.int64)) for k in keys] + [pa.array((src << 1) + many), pa.array(lows[one])]
     return pa.RecordBatch.from_arrays(columns, ["h", "g"][: len(keys)] + ["tag", "low"])
 
 
-def _spans(ids: list[int | None], texts: list[bytes | None], most: int) -> Iterator[tuple[int, int, list[list[bytes]]]]:
-    """Ranges of rows with about `most` words together, cut into words."""
+def _spans(texts: list[bytes | None]) -> Iterator[tuple[int, int, list[list[bytes]]]]:
+    """Ranges of rows with about CHUNK words together, cut into words."""
     begin, held, total = 0, [], 0
     for i, text in enumerate(texts):
         held.append((text or b"").split())  # on bytes: ASCII white space only
         total += len(held[-1])
-        if total >= most or i + 1 == len(texts):
+        if total >= CHUNK or i + 1 == len(texts):
             yield begin, i + 1, held
             begin, held, total = i + 1, [], 0
 
 
-def _windows(held: list[list[bytes]], ids: list[int | None], hashers: list[Rolling]) -> tuple[list[np.ndarray], np.ndarray]:
-    """(hashes by each hasher, document) of every window of the texts that have an id."""
-    keys, docs = [[] for _ in hashers], []
-    for words, doc in zip(held, ids, strict=True):
-        if doc is None or len(words) < hashers[0].size:
-            continue
-        for k, hasher in zip(keys, hashers, strict=True):
-            k.append(hasher(words))
-        docs.append(np.full(len(words) - hashers[0].size + 1, doc, np.int64))
-    none = [np.zeros(0, np.int64)]
-    return [np.concatenate(k or [np.zeros(0, np.uint64)]) for k in keys], np.concatenate(docs or none)
-
-
 def _every_window(size: int, bits: int):
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Rolling(size, 0, bits)
+        windows = Windows(size, bits)
         for batch in batches:
             src = batch.column(0).to_numpy()
-            for a in (cuts := [0, *(np.flatnonzero(src[1:] != src[:-1]) + 1).tolist()]):
-                b = next((c for c in cuts if c > a), len(src))
+            cuts = [0, *(np.flatnonzero(src[1:] != src[:-1]) + 1).tolist(), len(src)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
                 ids = batch.column(1).slice(a, b - a).to_pylist()
-                for x, y, held in _spans(ids, utf8(batch.column(2).slice(a, b - a)), CHUNK):
-                    keys, docs = _windows(held, ids[x:y], [hasher])
+                for x, y, held in _spans(utf8(batch.column(2).slice(a, b - a))):
+                    _, docs, first, _ = windows(held, ids[x:y])
                     if len(docs):
-                        yield _rows(keys, docs, int(src[a]))
+                        yield _rows([first], docs, int(src[a]))
 
     return hashed
 
@@ -206,17 +217,22 @@ def _count(rows: DataFrame, keys: list[str]) -> DataFrame:
     return _written(dealt.mapInArrow(_repeated(len(keys)), columns))
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Places of the values that are in the sorted array `known`."""
+    if not len(known):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values)
+
+
 def _second_hashes(size: int, bits: int):
     def tell(left: pa.Table, right: pa.Table) -> pa.Table:
-        wanted = np.unique(right.column("h").to_numpy())
-        hashers, parts = [Rolling(size, 0, bits), Rolling(size, 1)], []
+        wanted, windows, parts = np.unique(right.column("h").to_numpy()), Windows(size, bits), []
         ids = left.column("id").to_pylist()
-        src = left.column("src")[0].as_py() if left.num_rows else 0
-        for x, y, held in _spans(ids, utf8(left.column("text").combine_chunks()), CHUNK):
-            keys, docs = _windows(held, ids[x:y], hashers)
-            at = np.flatnonzero(np.isin(keys[0].view(np.int64), wanted))
+        for x, y, held in _spans(utf8(left.column("text").combine_chunks())) if len(wanted) else ():
+            _, docs, first, second = windows(held, ids[x:y])
+            at = _among(first.view(np.int64), wanted)
             if len(at):
-                parts.append(_rows([k[at] for k in keys], docs[at], src))
+                parts.append(_rows([first[at], second(at)], docs[at], left.column("src")[0].as_py()))
         names = ["h", "g", "tag", "low"]
         return pa.Table.from_batches(parts) if parts else pa.table({n: pa.array([], pa.int64()) for n in names})
 
@@ -245,30 +261,30 @@ def _intervals(size: int, bits: int):
         told = [right.column(c).to_numpy() for c in ("h", "g", "least")]
         order = np.argsort(told[0], kind="stable")
         told = [t[order] for t in told]
-        hashers = [Rolling(size, 0, bits), Rolling(size, 1)]
+        windows = Windows(size, bits)
         ids = left.column("id").to_pylist()
         counts, spans, kept = [], [], []
-        for text, doc in zip(utf8(left.column("text").combine_chunks()), ids, strict=True):
-            words = (text or b"").split()
-            found: list[dict[str, int]] = []
-            if doc is not None and len(words) >= size and len(told[0]):
-                h = hashers[0](words).view(np.int64)
-                at = np.minimum(np.searchsorted(told[0], h), len(told[0]) - 1)
-                near = np.flatnonzero(told[0][at] == h)
-                if len(near):
-                    g = hashers[1](words).view(np.int64)[near]
-                    gone = near[_owned(h[near], g, told) < doc]
-                    if len(gone):  # windows that touch or overlap are one interval
-                        breaks = np.flatnonzero(np.diff(gone) > size) + 1
-                        first, last = gone[np.append(0, breaks)], gone[np.append(breaks - 1, len(gone) - 1)]
-                        found = [{"start": a, "length": b} for a, b in zip(first.tolist(), (last - first + size).tolist(), strict=True)]
-            counts.append(len(words))
-            spans.append(found)
-            rest, done = [], 0
-            for s in found:
-                rest += words[done : s["start"]]
-                done = s["start"] + s["length"]
-            kept.append(b" ".join(rest + words[done:] if found else words))
+        for x, y, held in _spans(utf8(left.column("text").combine_chunks())):
+            at, docs, first, second = windows(held, ids[x:y])
+            near = _among(first.view(np.int64), told[0])
+            gone = near[_owned(first[near].view(np.int64), second(near).view(np.int64), told) < docs[near]] if len(near) else near
+            # Windows of one text that touch or overlap are one interval.
+            stops = np.cumsum([len(w) for w in held])
+            place = at[gone]
+            owner = np.searchsorted(stops, place, side="right")
+            breaks = np.flatnonzero((np.diff(place) > size) | (np.diff(owner) > 0)) + 1
+            begins, ends = (place[np.append(0, breaks)], place[np.append(breaks - 1, len(place) - 1)] + size) if len(place) else (place, place)
+            found: list[list[dict[str, int]]] = [[] for _ in held]
+            for a, b, k in zip(begins.tolist(), ends.tolist(), np.searchsorted(stops, begins, side="right").tolist(), strict=True):
+                found[k].append({"start": a - int(stops[k]) + len(held[k]), "length": b - a})
+            for words, mine in zip(held, found, strict=True):
+                rest, done = [], 0
+                for s in mine:
+                    rest += words[done : s["start"]]
+                    done = s["start"] + s["length"]
+                kept.append(b" ".join(rest + words[done:] if mine else words))
+            counts += map(len, held)
+            spans += found
         return pa.table(
             {"doc_id": left.column("id"), "n_words": pa.array(counts, pa.int64()), "removed": pa.array(spans, span_type), "kept": pa.array(kept, pa.binary())}
         )

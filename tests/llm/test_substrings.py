@@ -64,19 +64,19 @@ def test_passage_in_every_document(spark):
 
 
 def test_rows_of_one_batch_are_combined():
-    size, words = 3, "a b c d".split()
-    words = [w.encode() for w in words]
-    keys, docs = substrings._windows([words, words, words], [9, 4, None], [substrings.Rolling(size, 0)])
-    rows = substrings._rows(keys, docs, 5).to_pydict()
+    words = [w.encode() for w in "a b c d".split()]
+    _, docs, first, _ = substrings.Windows(3, 64)([words, words, words], [9, 4, None])
+    rows = substrings._rows([first], docs, 5).to_pydict()
     assert rows["tag"] == [11, 11] and rows["low"] == [4, 4]
 
 
-def test_hash_is_of_the_words_alone():
+def test_hashes_are_of_the_words_alone():
     words = [f"{k % 7}".encode() for k in range(500)]
-    for seed in (0, 1):
-        h = substrings.Rolling(20, seed)
-        want = [int(h(words[i : i + 20])[0]) for i in range(481)]
-        assert h(words).tolist() == want
+    _, _, first, second = substrings.Windows(20, 64)([words], [1])
+    for found in (first, second(np.arange(481))):
+        alone = [substrings.Windows(20, 64)([words[i : i + 20]], [1]) for i in range(481)]
+        want = [int((a[2] if found is first else a[3](np.arange(1)))[0]) for a in alone]
+        assert found.tolist() == want
         assert len(set(want)) == 7
 
 
