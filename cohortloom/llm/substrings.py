@@ -1,16 +1,16 @@
 """Removal of repeated passages: Rabin-Karp hashes of every window of words, counted in Spark.
 
-Rolling hashes. The number of a window of words u[i], u[i + 1], ... is the sum of u[i + k] * B^k modulo
-2^64, the difference of two running sums of u[i] * B^i times a power of B's inverse, so a text's windows
-take a few array operations however long the window is.
+Rolling hashes. The number of a stretch u[i], u[i + 1], ... is the sum of u[i + k] * B^k modulo 2^64, the
+difference of two running sums of u[i] * B^i times a power of B's inverse, so all windows of many texts take a few array
+operations however long the window is. Words get their numbers from their bytes in the same way.
 
 Counting. Documents are dealt into batches, written once. A window that stands in several documents
 of a batch is one row, with the smallest document of them; the rows are sorted by hash in Spark and read
 as a stream, so that a passage of every document needs no memory and a row for a batch, not for a document.
 Hashes of more than one row go back to their batches. There the windows get a second, independent hash
-of 64 bits, and those few are counted again by both: a chance agreement of the first hash only makes a
-candidate. Windows that agree in all 128 bits are taken as equal, which among 10^13 windows fails with a
-chance of about 1e-13.
+of 64 bits, and those few are counted again by both: a chance agreement of the first hash (48 bits) only makes a
+candidate. Windows that agree in all 112 bits are taken as equal, which among 10^13 windows fails with a
+chance of about 1e-8.
 
 Windows with a smaller document for owner are then merged into maximal intervals in each text.
 """
@@ -32,8 +32,13 @@ from cohortloom.session import drop_cut, work_path
 
 #: Bytes of text in a batch, unless one text alone has more.
 BATCH = 8 << 20
-#: Words hashed at once.
-CHUNK = 200_000
+#: Bytes hashed at once, unless one text alone has more.
+CHUNK = 1 << 20
+#: Bytes from which a word is hashed by itself.
+LONG = 64
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_MIX = np.uint64(0xFF51AFD7ED558CCD)
 _BASES = (np.uint64(0x9E3779B97F4A7C15 | 3), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -43,71 +48,58 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-class Numbers(dict):
-    """A place in `table` for each word, which has two independent 64-bit numbers there; remembered up to a bound."""
-
-    def __init__(self, most: int = 200_000):
-        super().__init__()
-        self.most, self.table = most, np.zeros((2, 1024), np.uint64)
-
-    def __missing__(self, word: bytes) -> int:
-        k = len(self)
-        if k == self.table.shape[1]:
-            self.table = np.hstack((self.table, np.zeros_like(self.table)))
-        digest = xxhash.xxh3_128_intdigest(word)
-        self.table[0, k], self.table[1, k] = digest >> 64, digest & 0xFFFFFFFFFFFFFFFF
-        self[word] = k
-        return k
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        """Both numbers of each word, as two rows."""
-        if len(self) > self.most:
-            self.clear()
-        places = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.table[:, places]
-
-
 class Rolling:
-    """Hashes of all windows of `size` numbers in a row."""
+    """Hashes of stretches of a row of numbers."""
 
-    def __init__(self, size: int, which: int, bits: int = 64):
-        self.size, self.bits, self.base = size, bits, _BASES[which]
-        self.inverse = np.uint64(pow(int(self.base), -1, 1 << 64))
+    def __init__(self, base: np.uint64):
+        self.base, self.inverse = base, np.uint64(pow(int(base), -1, 1 << 64))
         self.up = self.down = np.zeros(0, np.uint64)
 
-    def __call__(self, u: np.ndarray) -> np.ndarray:
-        """One hash for each place at which `size` numbers begin; empty if there are fewer."""
+    def __call__(self, u: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """One hash for each stretch from a begin up to its end, mixed so that sums of them say nothing of their sum."""
         n = len(u)
-        if n < self.size:
-            return np.zeros(0, np.uint64)
         if len(self.up) < n:
             self.up, self.down = _powers(self.base, n), _powers(self.inverse, n)
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(u * self.up[:n], dtype=np.uint64)))
-        out = (sums[self.size :] - sums[: -self.size]) * self.down[: n - self.size + 1]
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(u * self.up[:n], dtype=np.uint64, out=sums[1:])
+        out = (sums[ends] - sums[begins]) * self.down[begins]
         out ^= out >> np.uint64(32)
-        return out >> np.uint64(64 - self.bits) if self.bits < 64 else out
+        out *= _MIX
+        return out ^ (out >> np.uint64(29))
 
 
 class Windows:
-    """The windows of texts and their hashes; keeps what it has learned of words between calls."""
+    """The windows of some texts: their places, documents and two independent hashes, made when asked for."""
 
     def __init__(self, size: int, bits: int):
-        self.size, self.numbers = size, Numbers()
-        self.hashers = Rolling(size, 0, bits), Rolling(size, 1)
-
-    def __call__(self, held: list[list[bytes]], ids: list[int | None]):
-        """(place, document, first hash) of every window of texts that have an id, and the second hashes of some of them by number.
-
-        Places count the words of all texts in a row.
-        """
-        u = self.numbers([w for words in held for w in words])
-        sizes = np.fromiter(map(len, held), np.int64, len(held))
-        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(u.shape[1])
-        known = np.repeat(np.array([i is not None for i in ids], bool), sizes)
-        at = np.flatnonzero((left >= self.size) & known)
-        docs = np.repeat(np.array([i or 0 for i in ids], np.int64), sizes)[at]
-        first = self.hashers[0](u[0])
-        return at, docs, first[at] if len(at) else np.zeros(0, np.uint64), lambda some: self.hashers[1](u[1])[at[some]]
+        self.size, self.bits = size, bits
+        self.bytes_, self.words = [[Rolling(b) for b in _BASES] for _ in range(2)]
+
+    def read(self, texts: list[bytes], ids: list[int | None]) -> Windows:
+        """Take these texts; only those with an id have windows. Places count the words of all texts in a row."""
+        joined = b" ".join(texts)
+        self.raw = np.frombuffer(joined, np.uint8)
+        inside = np.concatenate(([False], ~_SPACE[self.raw], [False]))
+        turns = np.flatnonzero(inside[1:] != inside[:-1])
+        self.begins, self.ends = turns[::2], turns[1::2]
+        text_ends = np.cumsum([len(t) + 1 for t in texts])
+        self.stops = np.searchsorted(self.begins, text_ends)  # words up to the end of each text
+        self.counts = np.diff(self.stops, prepend=0)
+        left = np.repeat(self.stops, self.counts) - np.arange(len(self.begins))
+        known = np.repeat(np.array([i is not None for i in ids], bool), self.counts)
+        self.at = np.flatnonzero((left >= self.size) & known)
+        self.docs = np.repeat(np.array([i or 0 for i in ids], np.int64), self.counts)[self.at]
+        return self
+
+    def hashes(self, which: int) -> np.ndarray:
+        """The first or the second hash of each window."""
+        if not len(self.at):
+            return np.zeros(0, np.int64)
+        u = self.bytes_[which](self.raw + np.uint64(1), self.begins, self.ends)
+        for k in np.flatnonzero(self.ends - self.begins > LONG):  # long regular words could agree in sums modulo 2^64
+            u[k] = xxhash.xxh3_64_intdigest(self.raw[self.begins[k] : self.ends[k]].tobytes(), which)
+        out = self.words[which](u, self.at, self.at + self.size)
+        return (out >> np.uint64(64 - (64 if which else self.bits))).view(np.int64)
 
 
 def _deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,19 +124,15 @@ def _rows(keys: list[np.ndarray], docs: np.ndarray, src: int) -> pa.RecordBatch:
     lows, highs, one = np.zeros_like(docs), np.zeros_like(docs), np.zeros(len(docs), bool)
     lows[order[starts]], highs[order[starts]], one[order[starts]] = low, high, True
     many = (lows != highs)[one].astype(np.int64)
-    columns = [pa.array(k[one].view(np.int64)) for k in keys] + [pa.array((src << 1) + many), pa.array(lows[one])]
+    columns = [pa.array(k[one]) for k in keys] + [pa.array((src << 1) + many), pa.array(lows[one])]
     return pa.RecordBatch.from_arrays(columns, ["h", "g"][: len(keys)] + ["tag", "low"])
 
 
-def _spans(texts: list[bytes | None]) -> Iterator[tuple[int, int, list[list[bytes]]]]:
-    """Ranges of rows with about CHUNK words together, cut into words."""
-    begin, held, total = 0, [], 0
-    for i, text in enumerate(texts):
-        held.append((text or b"").split())  # on bytes: ASCII white space only
-        total += len(held[-1])
-        if total >= CHUNK or i + 1 == len(texts):
-            yield begin, i + 1, held
-            begin, held, total = i + 1, [], 0
+def _spans(texts: list[bytes | None], ids: list[int | None], windows: Windows) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about CHUNK bytes together, taken in by `windows`."""
+    for a, b in pieces([len(t or b"") for t in texts], CHUNK):
+        windows.read([t or b"" for t in texts[a:b]], ids[a:b])
+        yield a, b
 
 
 def _every_window(size: int, bits: int):
@@ -154,11 +142,9 @@ def _every_window(size: int, bits: int):
             src = batch.column(0).to_numpy()
             cuts = [0, *(np.flatnonzero(src[1:] != src[:-1]) + 1).tolist(), len(src)]
             for a, b in zip(cuts, cuts[1:], strict=False):
-                ids = batch.column(1).slice(a, b - a).to_pylist()
-                for x, y, held in _spans(utf8(batch.column(2).slice(a, b - a))):
-                    _, docs, first, _ = windows(held, ids[x:y])
-                    if len(docs):
-                        yield _rows([first], docs, int(src[a]))
+                for _ in _spans(utf8(batch.column(2).slice(a, b - a)), batch.column(1).slice(a, b - a).to_pylist(), windows):
+                    if len(windows.at):
+                        yield _rows([windows.hashes(0)], windows.docs, int(src[a]))
 
     return hashed
 
@@ -227,12 +213,12 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 def _second_hashes(size: int, bits: int):
     def tell(left: pa.Table, right: pa.Table) -> pa.Table:
         wanted, windows, parts = np.unique(right.column("h").to_numpy()), Windows(size, bits), []
-        ids = left.column("id").to_pylist()
-        for x, y, held in _spans(utf8(left.column("text").combine_chunks())) if len(wanted) else ():
-            _, docs, first, second = windows(held, ids[x:y])
-            at = _among(first.view(np.int64), wanted)
+        texts = utf8(left.column("text").combine_chunks()) if len(wanted) else []
+        for _ in _spans(texts, left.column("id").to_pylist(), windows):
+            first = windows.hashes(0)
+            at = _among(first, wanted)
             if len(at):
-                parts.append(_rows([first[at], second(at)], docs[at], left.column("src")[0].as_py()))
+                parts.append(_rows([first[at], windows.hashes(1)[at]], windows.docs[at], left.column("src")[0].as_py()))
         names = ["h", "g", "tag", "low"]
         return pa.Table.from_batches(parts) if parts else pa.table({n: pa.array([], pa.int64()) for n in names})
 
@@ -262,28 +248,29 @@ def _intervals(size: int, bits: int):
         order = np.argsort(told[0], kind="stable")
         told = [t[order] for t in told]
         windows = Windows(size, bits)
-        ids = left.column("id").to_pylist()
         counts, spans, kept = [], [], []
-        for x, y, held in _spans(utf8(left.column("text").combine_chunks())):
-            at, docs, first, second = windows(held, ids[x:y])
-            near = _among(first.view(np.int64), told[0])
-            gone = near[_owned(first[near].view(np.int64), second(near).view(np.int64), told) < docs[near]] if len(near) else near
+        texts = utf8(left.column("text").combine_chunks())
+        for x, y in _spans(texts, left.column("id").to_pylist(), windows):
+            first = windows.hashes(0) if len(told[0]) else np.zeros(0, np.int64)
+            gone = _among(first, told[0])
+            if len(gone):
+                gone = gone[_owned(first[gone], windows.hashes(1)[gone], told) < windows.docs[gone]]
             # Windows of one text that touch or overlap are one interval.
-            stops = np.cumsum([len(w) for w in held])
-            place = at[gone]
+            place, stops = windows.at[gone], windows.stops
             owner = np.searchsorted(stops, place, side="right")
             breaks = np.flatnonzero((np.diff(place) > size) | (np.diff(owner) > 0)) + 1
-            begins, ends = (place[np.append(0, breaks)], place[np.append(breaks - 1, len(place) - 1)] + size) if len(place) else (place, place)
-            found: list[list[dict[str, int]]] = [[] for _ in held]
-            for a, b, k in zip(begins.tolist(), ends.tolist(), np.searchsorted(stops, begins, side="right").tolist(), strict=True):
-                found[k].append({"start": a - int(stops[k]) + len(held[k]), "length": b - a})
-            for words, mine in zip(held, found, strict=True):
-                rest, done = [], 0
+            heads, tails = (np.append(0, breaks), np.append(breaks - 1, len(place) - 1)) if len(place) else (place, place)
+            found: list[list[dict[str, int]]] = [[] for _ in range(x, y)]
+            before = (stops - windows.counts)[owner[heads]]
+            for k, a, n in zip(owner[heads].tolist(), (place[heads] - before).tolist(), (place[tails] - place[heads] + size).tolist(), strict=True):
+                found[k].append({"start": a, "length": n})
+            for text, mine in zip(texts[x:y], found, strict=True):
+                words, rest, done = (text or b"").split(), [], 0
                 for s in mine:
                     rest += words[done : s["start"]]
                     done = s["start"] + s["length"]
                 kept.append(b" ".join(rest + words[done:] if mine else words))
-            counts += map(len, held)
+            counts += windows.counts.tolist()
             spans += found
         return pa.table(
             {"doc_id": left.column("id"), "n_words": pa.array(counts, pa.int64()), "removed": pa.array(spans, span_type), "kept": pa.array(kept, pa.binary())}
@@ -292,7 +279,7 @@ def _intervals(size: int, bits: int):
     return judge
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 50, bits: int = 64) -> DataFrame:
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 50, bits: int = 48) -> DataFrame:
     """A row per document: doc_id, n_words, removed and kept.
 
     removed: the maximal intervals (start, length), in words from 0, of the words that lie in a window of
@@ -300,8 +287,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     Windows are judged on the whole input. Ids are integers; a row with a null id neither
     removes nor loses words, and rows with one id do not take from each other. A null or empty text, and one with fewer
     words than `size`, loses nothing; an empty table gives no rows; other columns are not read. A text is
-    held whole by one task, with about 150 bytes a word in a very long one. `bits` of the first hash are for tests: fewer make more candidates
-    and change no result. The tables that the result reads stay in the shared folder.
+    held whole by one task, with about 60 bytes for each byte of a very long one. The first hash has `bits` bits: fewer make smaller
+    shuffles and more candidates, and change no result. The tables that the result reads stay in the shared folder.
     """
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
