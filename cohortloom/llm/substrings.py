@@ -103,16 +103,25 @@ class Windows:
 
 
 def _deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with the number of their batch: neighbours with about BATCH bytes of text together."""
+    """Batches: a number and the packed rows of neighbours with about BATCH bytes of text together."""
     number = TaskContext.get().partitionId() << 33
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
     for batch in batches:
         sizes = [n or 0 for n in pc.binary_length(batch.column(1)).to_pylist()]
         for a, b in pieces(sizes, BATCH):
-            src = pa.array(np.full(b - a, number, np.int64))
-            yield pa.RecordBatch.from_arrays([src, batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a)], ["src", "id", "text"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
+                out.write_batch(batch.slice(a, b - a))
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["src", "block"])
             number += 1
 
 
+def _unpack(block: bytes) -> tuple[list[int | None], list[bytes | None]]:
+    """Ids and texts of a batch."""
+    rows = pa.ipc.open_stream(block).read_all().combine_chunks()
+    return rows.column(0).to_pylist(), utf8(rows.column(1).combine_chunks())
+
+
 def _rows(keys: list[np.ndarray], docs: np.ndarray, src: int) -> pa.RecordBatch:
     """A row for each distinct key: the key, twice the batch's number, plus 1 if several documents have it, and the smallest."""
     order = np.argsort(keys[0]) if len(keys) == 1 else np.lexsort(keys[::-1])
@@ -139,12 +148,11 @@ def _every_window(size: int, bits: int):
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(size, bits)
         for batch in batches:
-            src = batch.column(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(src[1:] != src[:-1]) + 1).tolist(), len(src)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                for _ in _spans(utf8(batch.column(2).slice(a, b - a)), batch.column(1).slice(a, b - a).to_pylist(), windows):
+            for src, block in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids, texts = _unpack(block.as_py())
+                for _ in _spans(texts, ids, windows):
                     if len(windows.at):
-                        yield _rows([windows.hashes(0)], windows.docs, int(src[a]))
+                        yield _rows([windows.hashes(0)], windows.docs, src)
 
     return hashed
 
@@ -213,8 +221,8 @@ def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
 def _second_hashes(size: int, bits: int):
     def tell(left: pa.Table, right: pa.Table) -> pa.Table:
         wanted, windows, parts = np.unique(right.column("h").to_numpy()), Windows(size, bits), []
-        texts = utf8(left.column("text").combine_chunks()) if len(wanted) else []
-        for _ in _spans(texts, left.column("id").to_pylist(), windows):
+        ids, texts = _unpack(left.column("block")[0].as_py()) if len(wanted) else ([], [])
+        for _ in _spans(texts, ids, windows):
             first = windows.hashes(0)
             at = _among(first, wanted)
             if len(at):
@@ -249,8 +257,8 @@ def _intervals(size: int, bits: int):
         told = [t[order] for t in told]
         windows = Windows(size, bits)
         counts, spans, kept = [], [], []
-        texts = utf8(left.column("text").combine_chunks())
-        for x, y in _spans(texts, left.column("id").to_pylist(), windows):
+        ids, texts = _unpack(left.column("block")[0].as_py())
+        for x, y in _spans(texts, ids, windows):
             first = windows.hashes(0) if len(told[0]) else np.zeros(0, np.int64)
             gone = _among(first, told[0])
             if len(gone):
@@ -273,7 +281,7 @@ def _intervals(size: int, bits: int):
             counts += windows.counts.tolist()
             spans += found
         return pa.table(
-            {"doc_id": left.column("id"), "n_words": pa.array(counts, pa.int64()), "removed": pa.array(spans, span_type), "kept": pa.array(kept, pa.binary())}
+            {"doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(counts, pa.int64()), "removed": pa.array(spans, span_type), "kept": pa.array(kept, pa.binary())}
         )
 
     return judge
@@ -292,7 +300,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     """
     spark: SparkSession = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    dealt = _written(rows.mapInArrow(_deal, "src BIGINT, id BIGINT, text STRING"))
+    dealt = _written(rows.mapInArrow(_deal, "src BIGINT, block BINARY"))
     first = _count(dealt.mapInArrow(_every_window(size, bits), "h BIGINT, tag BIGINT, low BIGINT"), ["h"])
     told = dealt.groupBy("src").cogroup(first.groupBy("src"))
     second = _count(told.applyInArrow(_second_hashes(size, bits), "h BIGINT, g BIGINT, tag BIGINT, low BIGINT"), ["h", "g"])
