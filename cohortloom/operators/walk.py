@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.operators.propagate import place, push
-from cohortloom.session import cut, drop_cut
+from cohortloom.operators.propagate import place
+from cohortloom.session import cut, drop_cut, keep_placed
+
+
+def _sending(nodes: DataFrame, edges: DataFrame, start: int) -> DataFrame:
+    """(src, dst, weight): the edges, one from every dead end back to the start, and for each vertex a row to itself of weight -1.
+
+    With the second kind a dead end is a vertex like others; the third carries a vertex's own sums to the next round.
+    """
+    ends = nodes.select(F.col("vid").alias("src")).join(edges.select("src"), "src", "left_anti")
+    back = ends.select("src", F.lit(start).cast("bigint").alias("dst"), F.lit(1.0).alias("weight"))
+    own = nodes.select(F.col("vid").alias("src"), F.col("vid").alias("dst"), F.lit(-1.0).alias("weight"))
+    return edges.select("src", "dst", F.lit(1.0).alias("weight")).unionByName(back).unionByName(own)
 
 
 def restart_walk(
@@ -21,39 +34,44 @@ def restart_walk(
 ) -> DataFrame:
     """(vid, probability) after `rounds` of r <- alpha * e + (1 - alpha) * P'r, from all mass at `start`.
 
-    Every out-edge of a vertex is equally likely. Mass on vertices without out-edges returns to the
-    start. With `tolerance` the walk stops once the total change between two checks is below it.
+    Every out-edge of a vertex is equally likely. Mass on vertices without out-edges returns to the start.
+
+    The state is a residual x and a sum s for the vertices that anything has reached: a round adds alpha * x to s
+    and sends (1 - alpha) * x on, and s + x is the walk's vector. The residual's mass is (1 - alpha)^k
+    after k rounds, so k rounds are within 2 * (1 - alpha)^k of the limit: with `tolerance` the walk does no more rounds than this bound asks for.
+    A vertex's residual and sum leave it in one join with its edges and meet at the targets in one aggregation. `start` has to
+    be in `nodes`, else nothing is reached.
     """
-    slots, placed = place(edges.select("src", "dst", F.lit(1.0).alias("weight")), rows_per_split)
-    shape = cut(nodes.select("vid").join(slots, "vid", "left"))
-    rank = shape.withColumn("p", F.when(F.col("vid") == start, 1.0).otherwise(0.0))
-    checked = rank
+    if tolerance is not None:
+        rounds = min(rounds, math.ceil(math.log(tolerance / 2) / math.log(1 - alpha)))
+    slots, placed = place(_sending(nodes, edges, start), rows_per_split)
+    partitions = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shape = keep_placed(slots.repartition(partitions, "vid"))
+    state = shape.filter(F.col("vid") == start).select("*", F.lit(1.0).alias("x"), F.lit(0.0).alias("s"))
+    before = None
     for step in range(1, rounds + 1):
-        moving = rank.filter(F.col("p") > 0).withColumn(
-            "x", (1 - alpha) * F.col("p") / F.coalesce("degree", F.lit(1))
+        sent = state.select(
+            F.col("vid").alias("src"),
+            ((1 - alpha) * F.col("x") / (F.col("degree") - 1)).alias("x"),
+            (F.col("s") + alpha * F.col("x")).alias("s"),
+            F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("slot"),
         )
-        stuck = moving.filter(F.col("degree").isNull()).select(F.lit(start).cast("bigint").alias("vid"), "x")
-        restart = nodes.filter(F.col("vid") == start).select("vid", F.lit(alpha).alias("x"))
+        onwards = F.col("weight") > 0
         arrived = (
-            push(moving.select("vid", "splits", "x"), placed).unionByName(stuck).unionByName(restart)
-            .groupBy("vid").agg(F.sum("x").alias("p"))
+            sent.join(placed, ["src", "slot"])
+            .groupBy(F.col("dst").alias("vid"))
+            .agg(F.sum(F.when(onwards, F.col("x")).otherwise(0.0)).alias("x"), F.sum(F.when(onwards, 0.0).otherwise(F.col("s"))).alias("s"))
         )
-        rank = shape.join(arrived, "vid", "left").withColumn("p", F.coalesce("p", F.lit(0.0)))
+        state = shape.join(arrived, "vid")
         if step % cut_every == 0 or step == rounds:
-            rank = cut(rank)
-            if tolerance is None:
-                drop_cut(checked)
-                checked = rank
-            else:
-                gap = F.abs(F.col("p") - F.col("q"))
-                both = rank.select("vid", "p").join(checked.select("vid", F.col("p").alias("q")), "vid")
-                gap_sum = both.agg(F.sum(gap)).first()[0]
-                drop_cut(checked)
-                checked = rank
-                if gap_sum < tolerance:
-                    break
+            state = cut(state)
+            if before is not None:
+                drop_cut(before)
+            before = state
     placed.unpersist()
-    return rank.select("vid", F.col("p").alias("probability"))
+    shape.unpersist()
+    reached = state.select("vid", (F.col("s") + F.col("x")).alias("p"))
+    return nodes.select("vid").join(reached, "vid", "left").select("vid", F.coalesce("p", F.lit(0.0)).alias("probability"))
 
 
 def walk_top_patients(nodes: DataFrame, edges: DataFrame, start: int, k: int = 10, **options) -> DataFrame:

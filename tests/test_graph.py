@@ -31,8 +31,8 @@ def random_sets(seed, n=60):
     return sets
 
 
-@pytest.mark.parametrize("threshold", [0.2, 0.34, 0.5, 0.8])
-@pytest.mark.parametrize("hot", [0, 5, 1000])
+@pytest.mark.parametrize("threshold", [0.2, 0.34, 0.5, 0.8, 1.0])
+@pytest.mark.parametrize("hot", [3, 1000])
 def test_similar_sets_match_brute_force(spark, threshold, hot):
     sets = random_sets(int(threshold * 100) + hot)
     found, members = similarity.distinct_sets(item_frame(spark, sets))
@@ -44,6 +44,46 @@ def test_similar_sets_match_brute_force(spark, threshold, hot):
     assert got == pytest.approx(want)
 
 
+def work(sized, threshold, hot):
+    """Pairs that the lists compare: all of an open list, and those of equal key in a crowded one."""
+    levels, _ = similarity.candidate_lists(sized, threshold, hot)
+    total = 0
+    for _, open_, crowded in levels:
+        sizes = open_.groupBy("list", "key").agg(F.count("*").alias("n"))
+        total += sizes.agg(F.coalesce(F.sum(F.col("n") * (F.col("n") - 1)), F.lit(0))).first()[0]
+    return len(levels), total
+
+
+def test_crowded_item_costs_linear_work(spark):
+    """Sets {x, a_i} share one item by the thousand and none reaches one half."""
+    sets = {p: {"x", f"a{p}"} for p in range(4000)} | {9000: {"x"}}
+    found, _ = similarity.distinct_sets(item_frame(spark, sets))
+    sized = found.select("set_id", "items", F.size("items").alias("size"))
+    _, compared = work(sized, 0.6, 50)
+    assert compared <= 4000
+    assert similarity.similar_sets(found, 0.6, 50).count() == 0
+    pairs = similarity.similar_sets(found, 0.5, 50)
+    assert {tuple(r) for r in pairs.collect()} == {(p, 9000, 0.5) for p in range(4000)}
+
+
+def test_paths_grow_until_no_list_is_crowded(spark):
+    """Four items in every set, six more of their own: only paths of several items tell the sets apart."""
+    rnd = random.Random(3)
+    sets = {p: {"w", "x", "y", "z"} | {f"r{rnd.randrange(400)}" for _ in range(6)} for p in range(300)}
+    sets |= {1000 + p: (sets[p] - {"w"}) | {"q"} for p in range(20)}
+    found, _ = similarity.distinct_sets(item_frame(spark, sets))
+    sized = found.select("set_id", "items", F.size("items").alias("size"))
+    levels, compared = work(sized, 0.3, 20)
+    assert levels > 1 and compared < 320 * 319
+    got = {(r.s1, r.s2): r.similarity for r in similarity.similar_sets(found, 0.3, 20).collect()}
+    want = {(a, b): jaccard(sets[a], sets[b]) for a in sets for b in sets if a < b and jaccard(sets[a], sets[b]) >= 0.3}
+    assert got == pytest.approx(want)
+
+
+def test_no_sets_have_no_pairs(spark):
+    assert similarity.all_pairs(spark.createDataFrame([], ITEMS), 0.5).collect() == []
+
+
 def test_all_pairs_of_many_copies_stay_linear(spark):
     sets = {p: {"a", "b"} for p in range(500)} | {1000: {"a", "b", "c"}, 1001: {"z"}}
     rows = similarity.all_pairs(item_frame(spark, sets), 0.5).collect()
