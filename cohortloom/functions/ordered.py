@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortloom.session import pin
+from cohortloom.session import cut, drop_cut, pin
 
 # monotonically_increasing_id keeps the partition number above these bits, the row position below.
 _POSITION_BITS = 33
@@ -32,34 +32,48 @@ def dense_index(df: DataFrame, order_by: list[str | Column], name: str = "idx")
     )
 
 
+def cut_points(df: DataFrame, key: str, by: list[str], rows_per_range: int, most: int) -> DataFrame:
+    """(by, _cuts): for each group the values of numeric `key` that cut its rows into ranges of about `rows_per_range`.
+
+    Each group has its own quantile sketch, merged from those of the tasks, so groups on different scales are
+    cut evenly and no group is sorted. The number of ranges is the power of two that a group's rows ask for, `most` (itself one) at most.
+    """
+    sketched = df.groupBy(*by).agg(F.kll_sketch_agg_double(F.col(key).cast("double")).alias("_sketch"), F.count(key).alias("_n"))
+    grid = F.kll_sketch_get_quantile_double("_sketch", F.array(*[F.lit(i / most) for i in range(1, most)]))
+    ranges = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("_n") / rows_per_range))))
+    step = F.greatest(F.lit(1), F.lit(most) / ranges).cast("int")
+    cut_grid = sketched.filter("_n > 0").withColumn("_step", step).withColumn("_grid", grid)
+    return cut_grid.select(*by, F.array_distinct(F.filter("_grid", lambda x, i: (i + 1) % F.col("_step") == 0)).alias("_cuts"))
+
+
 def running_totals(
-    df: DataFrame, key: str, totals: dict[str, str], by: list[str] | None = None, cuts: int = 64
+    df: DataFrame, key: str, totals: dict[str, str], by: list[str] | None = None, rows_per_range: int = 50_000, most_ranges: int = 1024
 ) -> DataFrame:
     """Running sums over descending numeric `key`, where `df` has one row per (by, key).
 
-    `totals` maps a value column to the name of its running sum. Cut points taken from the key's
+    `totals` maps a value column to the name of its running sum. Cut points from each group's own
     quantiles split it into ranges; range totals give each range its starting offset, and the sums
-    then run inside (by, range) only.
+    then run inside (by, range) only. Equal keys never straddle a range, as there is one row for each.
     """
     by = by or []
-    probs = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
-    # Quantiles of the distinct keys: equal keys never straddle a range.
-    points = df.agg(F.percentile_approx(key, probs, 10000)).scalar()
-    ranged = df.withColumn("_cuts", points).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda c: c < F.col(key)))
-    ).drop("_cuts")
-    range_sums = ranged.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_sum_{c}") for c in totals])
-    above = W.partitionBy(*by).orderBy(F.desc("_range")).rowsBetween(W.unboundedPreceding, -1)
+    columns = df.columns
+    if not by:
+        df = df.withColumn("_all", F.lit(1))
+    groups = by or ["_all"]
+    df = cut(df)  # read for the sketches, the range totals and the sums
+    points = cut(cut_points(df, key, groups, rows_per_range, most_ranges))
+    # Both sides are tables: a small one is broadcast, else the runtime can split a group with many rows.
+    ranged = cut(df.join(points, groups).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col(key)))).drop("_cuts"))
+    drop_cut(df)
+    range_sums = ranged.groupBy(*groups, "_range").agg(*[F.sum(c).alias(f"_sum_{c}") for c in totals])
+    above = W.partitionBy(*groups).orderBy(F.desc("_range")).rowsBetween(W.unboundedPreceding, -1)
     offsets = range_sums.select(
-        *by, "_range", *[F.coalesce(F.sum(f"_sum_{c}").over(above), F.lit(0)).alias(f"_from_{c}") for c in totals]
+        *groups, "_range", *[F.coalesce(F.sum(f"_sum_{c}").over(above), F.lit(0)).alias(f"_from_{c}") for c in totals]
     )
-    inside = W.partitionBy(*by, "_range").orderBy(F.desc(key)).rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy(*groups, "_range").orderBy(F.desc(key)).rowsBetween(W.unboundedPreceding, 0)
     return (
-        ranged.join(offsets, [*by, "_range"])
-        .select(
-            *df.columns,
-            *[(F.col(f"_from_{c}") + F.sum(c).over(inside)).alias(name) for c, name in totals.items()],
-        )
+        ranged.join(offsets, [*groups, "_range"])
+        .select(*columns, *[(F.col(f"_from_{c}") + F.sum(c).over(inside)).alias(name) for c, name in totals.items()])
     )
 
 

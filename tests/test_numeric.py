@@ -20,7 +20,7 @@ def test_dense_index_over_many_partitions(spark):
 def test_running_totals_match_a_plain_scan(spark):
     scores = [(i / 300.0, i % 3) for i in range(300)]
     df = spark.createDataFrame(scores, "k DOUBLE, n INT")
-    got = {r.k: r.total for r in ordered.running_totals(df, "k", {"n": "total"}, cuts=16).collect()}
+    got = {r.k: r.total for r in ordered.running_totals(df, "k", {"n": "total"}, rows_per_range=20).collect()}
     total, want = 0, {}
     for k, n in sorted(scores, reverse=True):
         total += n
@@ -28,6 +28,26 @@ def test_running_totals_match_a_plain_scan(spark):
     assert got == want
 
 
+def test_groups_on_different_scales_are_cut_evenly(spark):
+    """Three groups whose values lie orders of magnitude apart, one of them with most of the rows."""
+    sizes = {"small": (1_000, 1e-6), "middle": (4_000, 1.0), "large": (16_000, 1e9)}
+    rows = [(g, (k * 7919 % n) * scale, 1) for g, (n, scale) in sizes.items() for k in range(n)]
+    df = spark.createDataFrame(rows, "g string, k double, n bigint")
+    points = {r.g: r._cuts for r in ordered.cut_points(df, "k", ["g"], 500, 1024).collect()}
+    assert {g: len(c) + 1 for g, c in points.items()} == {"small": 2, "middle": 8, "large": 32}
+    for g, (n, scale) in sizes.items():
+        edges = [-1, *[c / scale for c in points[g]], n]
+        assert all(b - a < 3 * 500 for a, b in zip(edges, edges[1:]))
+    got = ordered.running_totals(df, "k", {"n": "total"}, ["g"], rows_per_range=500)
+    assert {(r.g, r.k): r.total for r in got.collect()} == {(g, k): sizes[g][0] - round(k / sizes[g][1]) for g, k, _ in rows}
+
+
+def test_cut_points_are_bounded_and_one_range_needs_none(spark):
+    df = spark.createDataFrame([("a", float(k)) for k in range(5000)] + [("b", 1.0)], "g string, k double")
+    points = {r.g: r._cuts for r in ordered.cut_points(df, "k", ["g"], 10, 16).collect()}
+    assert len(points["a"]) == 15 and points["b"] == []
+
+
 def test_running_count_of_a_hot_group(spark):
     df = spark.range(500).select(F.lit(1).alias("g"), "id", (F.col("id") % 50).alias("t"))
     got = ordered.running_count(df, "g", ["t", "id"], F.floor(F.col("t") / 10), "n").orderBy("t", "id").collect()
