@@ -42,14 +42,3 @@ def construct(tuples: DataFrame) -> DataFrame:
     """
     names = dense_index(tuples.select("source", "name").distinct(), ["source", "name"])
     return tuples.join(names, ["source", "name"]).select("patient_id", "idx", "value")
-
-
-def dense_vectors(features: DataFrame, width: int) -> DataFrame:
-    """(patient_id, features): one ml vector of `width` entries per patient, 0.0 where absent."""
-    from pyspark.ml.functions import array_to_vector
-
-    cells = F.map_from_entries(F.collect_list(F.struct("idx", "value")))
-    rows = features.groupBy("patient_id").agg(cells.alias("cells"))
-    slots = F.sequence(F.lit(0).cast("bigint"), F.lit(width - 1).cast("bigint"))
-    values = F.transform(slots, lambda i: F.coalesce(F.element_at("cells", i), F.lit(0.0)))
-    return rows.select("patient_id", array_to_vector(values).alias("features"))

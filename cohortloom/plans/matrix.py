@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortloom.operators import cluster, matrix, nmf, pic, similarity
+from cohortloom.operators import cluster, matrix, nmf, pic, projection, similarity
 from cohortloom.operators.evaluate import purity
 from cohortloom.plans.clinical import _LABELS_SQL, clinical_tuples, phenotype_labels
 from cohortloom.plans.graph import _STAY_SETS, THRESHOLD, items, stay_items
@@ -153,14 +153,52 @@ def standard_scale(spark, d):
     return matrix.standard_scale(entries).withColumn("value", F.round("value", 5) + 0.0)
 
 
+#: Columns of the projection's block. Data no wider than this are projected exactly after one round.
+BLOCK = 64
+
+
+def _vector_entries(spark, d):
+    return src.vectors(spark, d).select(F.col("id").alias("row"), F.posexplode("features").alias("col", "value"))
+
+
 def _projected(spark, d):
+    """The narrow, dense embeddings on Spark ML's components, with their class."""
     rows = cluster.as_vectors(src.vectors(spark, d))
     return cluster.pca_project(cluster.scale(rows), 10)
 
 
 @query("pca_project")
 def pca_project(spark, d):
-    return cluster.component_rows(_projected(spark, d))
+    scores = projection.project(_vector_entries(spark, d), 10, BLOCK).scores
+    return scores.select(F.col("row").alias("id"), F.posexplode("score").alias("component", "value"))
+
+
+@query("pca_row_norms", with_views("signed_entries", """
+    SELECT row, round(sum(z * z), 6) AS norm FROM (
+      SELECT row, (value - avg(value) OVER (PARTITION BY col)) / stddev_samp(value) OVER (PARTITION BY col) AS z FROM signed_entries)
+    GROUP BY row"""))
+def pca_row_norms(spark, d):
+    """On all components together the rows keep their lengths, and so the total variance."""
+    scores = projection.project(_vector_entries(spark, d), BLOCK, BLOCK).scores
+    return scores.select("row", F.round(F.aggregate("score", F.lit(0.0), lambda n, x: n + x * x), 6).alias("norm"))
+
+
+@query("pca_orthonormality", """
+    SELECT i::INTEGER AS i, j::INTEGER AS j, CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS product,
+           CASE WHEN i = j THEN NULL ELSE 0.0::DOUBLE END AS covariance
+    FROM range(10) a(i), range(10) b(j) WHERE i <= j AND (SELECT count(*) FROM embeddings) > 0""")
+def pca_orthonormality(spark, d):
+    """Products of the ten leading components with each other, and the covariance of different components' scores."""
+    found = projection.project(_vector_entries(spark, d), 10, BLOCK)
+    pair = [F.col(c).alias(c) for c in ("i", "j")]
+
+    def products(rows, column, name):
+        cells = F.flatten(F.transform(column, lambda x, i: F.transform(F.slice(column, i + 1, F.lit(10)), lambda y, j: F.struct(i.alias("i"), (i + j).alias("j"), (x * y).alias("p")))))
+        return rows.select(F.inline(cells)).groupBy("i", "j").agg((F.round(F.sum("p"), 6) + 0.0).alias(name))
+
+    parts = products(found.components, F.col("part"), "product")
+    scores = products(found.scores, F.col("score"), "covariance").withColumn("covariance", F.when(F.col("i") != F.col("j"), F.col("covariance")))
+    return parts.join(scores, ["i", "j"]).select(*pair, "product", "covariance")
 
 
 @query("kmeans")
@@ -244,14 +282,13 @@ def phenotype_clustering(spark, d):
 
     tuples = cut(feat.construct(clinical_tuples(spark, d)))
     labels = phenotype_labels(spark, d).withColumnRenamed("label", "class")
-    width = tuples.agg(F.max("idx")).first()[0] + 1
-    rows = feat.dense_vectors(tuples, width).withColumnRenamed("patient_id", "id")
-    projected = cut(cluster.pca_project(cluster.scale(rows), 10))
+    entries = tuples.select(F.col("patient_id").alias("row"), F.col("idx").alias("col"), "value")
+    scores = projection.project(entries, 10, BLOCK).scores
+    projected = cut(cluster.as_vectors(scores.select(F.col("row").alias("id"), F.col("score").alias("features"))))
     parts = [
         cluster.kmeans(projected).select(F.lit("kmeans").alias("method"), F.col("id").alias("patient_id"), "cluster"),
         cluster.gmm(projected).select(F.lit("gmm").alias("method"), F.col("id").alias("patient_id"), "cluster"),
     ]
-    entries = tuples.select(F.col("patient_id").alias("row"), F.col("idx").alias("col"), "value")
     factors = nmf.factorize(entries, K)
     parts.append(
         nmf.assign(factors.w, K).select(F.lit("nmf").alias("method"), F.col("row").alias("patient_id"), "cluster")
