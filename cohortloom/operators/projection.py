@@ -88,7 +88,7 @@ def scaled_entries(entries: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     return cut(scaled.select("row", "col", (F.col("value") * F.col("inverse")).alias("w"))), columns.select("col", "c"), n
 
 
-def project(entries: DataFrame, k: int = 10, block: int = 32, rounds: int = 60, tolerance: float = 1e-8) -> Projection:
+def project(entries: DataFrame, k: int = 10, block: int = 32, rounds: int = 60, tolerance: float = 1e-4) -> Projection:
     """The rows of `entries` (row, col, value) on the `k` leading principal components of their standardised columns.
 
     Every column is centred and scaled to unit sample deviation, absent cells being zeros. The block has `block` columns, k at least,

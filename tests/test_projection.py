@@ -27,7 +27,7 @@ def dense(a):
 
 
 def check(spark, a, k, error, **options):
-    found = projection.project(frame(spark, a).repartition(5), k, **options)
+    found = projection.project(frame(spark, a).repartition(5), k, tolerance=1e-8, **options)
     z = dense(a)
     u, s, vt = np.linalg.svd(z, full_matrices=False)
     want = s[:k] / np.sqrt(len(a) - 1)
