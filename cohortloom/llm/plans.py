@@ -122,7 +122,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "op2_mixing",
     rf"""
-    WITH d AS (SELECT row_number() OVER () AS r, doc_id, source,
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(md5(text), 'null') AS mark,
                len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
     s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k FROM d GROUP BY source),
     c AS (SELECT *, [3, 1, 2][(k - 1) % 3 + 1] AS weight, 2 * source_size AS cap FROM s),
@@ -130,25 +130,28 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     l AS (SELECT *, (1.5 * (SELECT sum(source_size) FROM s)::DOUBLE - coalesce((SELECT sum(cap) FROM o b WHERE b.o < a.o), 0)::DOUBLE)
                      / (SELECT sum(weight) FROM o b WHERE b.o >= a.o)::DOUBLE AS level FROM o a),
     t AS (SELECT k, source, source_size, least(cap::DOUBLE, (SELECT max(level) FROM l b WHERE b.level * b.weight <= b.cap) * weight) AS target FROM l),
-    e AS (SELECT *, sum(round(target)::BIGINT) OVER (ORDER BY k)::BIGINT AS e FROM t),
-    n AS (SELECT max(e) AS total, greatest(1, least(2048, max(e) // 1048576)) AS block FROM e),
-    p AS (SELECT least(floor(((2654435769 * (i % 2147483648)) % 4294967296) / 4294967296::DOUBLE * total)::BIGINT, total - 1) AS spot
-          FROM n, range((SELECT (total + block - 1) // block FROM n)) x(i)),
-    h AS (SELECT spot, count(*) AS m FROM p GROUP BY spot),
-    q AS (SELECT k, any_value(source) AS source, any_value(source_size) AS source_size, any_value(target) AS target,
-                 coalesce(sum(m), 0)::BIGINT * any_value(block) AS given
-          FROM e CROSS JOIN n LEFT JOIN h ON spot >= e - round(target)::BIGINT AND spot < e GROUP BY k),
-    b AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), size, r
-                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begin FROM d)
-    SELECT doc_id, size, source_size, target,
-           (greatest(0, least(begin + size, given) - begin) + greatest(0, least(begin + source_size + size, given) - begin - source_size))::BIGINT AS taken
-    FROM b JOIN q ON b.source IS NOT DISTINCT FROM q.source
+    e AS (SELECT *, round(target)::BIGINT AS take, (round(target)::BIGINT + 2047) // 2048 AS blocks FROM t),
+    f AS (SELECT *, sum(blocks) OVER (ORDER BY k)::BIGINT AS stop FROM e),
+    n AS (SELECT max(stop) AS m FROM f),
+    g AS (SELECT max(x) AS g FROM n, range((SELECT greatest(0, m * 2654435769 // 4294967296 - 500) FROM n), (SELECT m * 2654435769 // 4294967296 + 1 FROM n)) u(x)
+          WHERE gcd(x, m) = 1),
+    p AS (SELECT i AS turn, ((i::HUGEINT * g) % m)::BIGINT AS spot FROM n, g, range((SELECT m FROM n)) x(i)),
+    w AS (SELECT k, turn, row_number() OVER (PARTITION BY k ORDER BY turn) - 1 AS rank FROM p JOIN f ON spot >= stop - blocks AND spot < stop),
+    b AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || mark), size, r
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begin FROM d),
+    z AS (SELECT r, k, begin + epoch * source_size AS begin, least(begin + epoch * source_size + size, take) AS till
+          FROM b JOIN e ON b.source IS NOT DISTINCT FROM e.source, (VALUES (0), (1)) v(epoch)),
+    x AS (SELECT r, k, begin, till, unnest(range(begin // 2048, (till - 1) // 2048 + 1)) AS rank FROM z WHERE begin < till),
+    y AS (SELECT r, min(turn) AS first_turn, sum(least(till, 2048 * (rank + 1)) - greatest(begin, 2048 * rank))::BIGINT AS taken
+          FROM x JOIN w USING (k, rank) GROUP BY r)
+    SELECT doc_id, size, e.source_size, target, coalesce(taken, 0)::BIGINT AS taken, first_turn::BIGINT AS first_turn
+    FROM b JOIN e ON b.source IS NOT DISTINCT FROM e.source LEFT JOIN y USING (r)
     """,
 )
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all sources takes of every document."""
     docs = mixing.sized(table(spark, sf_dir, "documents"))
-    return mixing.taken(docs, weights=[3, 1, 2]).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.taken(docs, weights=[3, 1, 2]).select("doc_id", "size", "source_size", "target", "taken", "first_turn")
 
 
 @query("op5_token_file")
