@@ -37,6 +37,9 @@ CHUNK = 500_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _MASK = [np.uint64((1 << 16 * k) - 1) for k in range(ORDER)] + [np.uint64(0xFFFFFFFFFFFFFFFF)]
 _LETTERS: list[np.ndarray] = []
+_ALPHABETIC: list[np.ndarray] = []
+#: Stands for every mark beyond 16 bits, as U+FFFD does for every letter there.
+_MARK = 0xFFFC
 
 
 def _letters() -> np.ndarray:
@@ -49,11 +52,20 @@ def _letters() -> np.ndarray:
                 low = c.lower()
                 table[cp] = ord(low) if len(low) == 1 and ord(low) < 0x10000 else (cp if cp < 0x10000 else 0xFFFD)
             elif unicodedata.category(c) in ("Mn", "Mc"):
-                table[cp] = cp if cp < 0x10000 else 0xFFFD  # marks belong to the letter before them
+                table[cp] = cp if cp < 0x10000 else _MARK  # marks belong to the letter before them
         _LETTERS.append(table)
     return _LETTERS[0]
 
 
+def _alphabetic() -> np.ndarray:
+    """Folded character of 16 bits -> whether it is a letter, and no mark or space; built once per worker."""
+    if not _ALPHABETIC:
+        table = np.array([chr(cp).isalpha() for cp in range(0x10000)])
+        table[0xFFFD] = True
+        _ALPHABETIC.append(table)
+    return _ALPHABETIC[0]
+
+
 def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(keys, sizes, letters): the packed n-grams of all texts in a row, their number and the number of letters of each."""
     raw = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), dtype="<u4")
@@ -65,7 +77,7 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keep = ~(space & np.concatenate(([True], space[:-1])) | space & first)
     chars, owner = chars[keep], owner[keep]
     sizes = np.bincount(owner, minlength=len(texts))
-    letters = np.bincount(owner[chars != SPACE], minlength=len(texts))
+    letters = np.bincount(owner[_alphabetic()[chars]], minlength=len(texts))
     padded = np.full(len(chars) + (ORDER - 1) * len(texts), SPACE, dtype=np.uint64)
     at = np.arange(len(chars)) + (ORDER - 1) * (owner + 1)
     padded[at] = chars

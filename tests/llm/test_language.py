@@ -134,3 +134,31 @@ def test_a_rare_language_beside_a_hot_one(spark, monkeypatch):
     assert len(model.keys[3]) == len(np.unique(language.ngrams([*hot, rare])[0]))
     got = language.identify(spark.createDataFrame([("qrstuv klmnop wxyz",), (hot[0],)], "text STRING"), model).collect()
     assert [r["language"]["lang"] for r in got] == ["rare", "hot"]
+
+
+def test_marks_alone_are_no_letters(spark):
+    """Combining marks stay in the n-grams, but a text without a letter is `und`."""
+    assert language.ngrams(["\u0301\u0301", "123 \u0651", "e\u0301", "\U0001e944", "\U00020000"])[2].tolist() == [0, 0, 1, 0, 1]
+    rows = spark.createDataFrame([("der die das und ist nicht ein", "de"), ("the of and to in is that", "en")], "text STRING, lang STRING")
+    found = language.identify(spark.createDataFrame([("\u0301\u0301",), ("123 \u0651",), ("the of",)], "text STRING"), language.fit(rows))
+    assert [(r["language"]["lang"], r["language"]["score"] > 0, r["language"]["rejected"]) for r in found.collect()] == [("und", False, True), ("und", False, True), ("en", True, False)]
+
+
+def test_predictions_equal_the_plain_version(spark):
+    """Language and score of every text from plain models: least entropy, shares under the model's sharpness."""
+    texts = {"de": ["Der Hund und die Katze", "nicht ein Haus, das ist es"], "en": ["the dog and the cat", "that is not a house"], "fr": ["le chien et le chat", "ce n'est pas une maison"]}
+    rows = spark.createDataFrame([(t, x) for x, ts in texts.items() for t in ts], "text STRING, lang STRING")
+    model = language.fit(rows)
+    counts = {x: plain_counts(ts) for x, ts in texts.items()}
+    alphabet = {g[-1] for c in counts.values() for g in c} | {"unseen"}
+    plain = {x: Plain(c, len(alphabet)) for x, c in counts.items()}
+    asked = ["the house", "das Haus", "la maison", "zzz", "x", "A dog; un chien"]
+    found = language.identify(spark.createDataFrame(list(enumerate(asked)), "i INT, text STRING"), model).orderBy("i").collect()
+    for text, row in zip(asked, found, strict=True):
+        grams = [g for g, n in plain_counts([text]).items() for _ in range(n)]
+        bits = {x: -sum(math.log2(plain[x].p(g)) for g in grams) / len(grams) for x in plain}
+        best = min(bits, key=lambda x: (bits[x], x))
+        letters = sum(c.isalpha() for c in text)
+        share = 1 / sum(math.exp(-model.beta * math.sqrt(letters) * (b - bits[best])) for b in bits.values())
+        assert row["language"]["lang"] == best and row["language"]["letters"] == letters
+        assert row["language"]["score"] == pytest.approx(share, abs=1e-3) and row["language"]["bits"] == pytest.approx(bits[best], abs=1e-3)
