@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import collections
 import itertools
+import json
 import os
 import zlib
 from collections.abc import Iterable, Iterator
@@ -35,15 +36,37 @@ WRITER = {
 }
 #: Punctuation that ends a piece of letters before it and is a piece of its own.
 _BEHIND = b".,;:!?"
+#: The steps before the merges for which texts are known to be encoded word by word.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def word_by_word(settings: dict) -> bool:
+    """Whether the tokenizer of these settings lower-cases, drops white space and never joins two words.
+
+    Its special strings must be matched as written, take no neighbour with them and hold `<|` and no white space.
+    """
+    steps = (settings.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    split = {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True}
+    special = all(
+        "<|" in t["content"] and not any(map(str.isspace, t["content"])) and not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"])
+        for t in settings.get("added_tokens") or []
+    )
+    return (
+        (settings.get("normalizer") or {}).get("normalizers") == _NORMALIZERS and steps[0] == split
+        and [(s["type"], s.get("add_prefix_space"), s.get("use_regex")) for s in steps[1:]] == [("ByteLevel", False, False)]
+        and settings.get("post_processor") is None and special
+    )
+
+
 class Encoder:
     """A tokenizer of the tokenizers library that remembers the ids of what it met before, up to a bound.
 
-    For lower-casing tokenizers that drop white space: their pieces never reach over a white-space
-    character, so a text's ids are those of its words, cut at ASCII white space. A word of ASCII
-    letters with punctuation behind it is two pieces, the letters and the punctuation.
+    Where its settings lower-case and drop white space (`word_by_word`), its pieces never reach over
+    a white-space character, so a text's ids are those of its words, cut at ASCII white space. A word
+    of ASCII letters with punctuation behind it is two pieces, the letters and the punctuation. Any
+    other tokenizer gets whole texts and nothing is remembered.
     Pieces are known by 64-bit hashes, in sorted arrays. A-Z are lowered first, but not where a special
     string, which is matched as written, may stand.
     """
@@ -57,6 +80,8 @@ class Encoder:
         self.tokenizer.no_padding()
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.most = most
+        with open(path, encoding="utf-8") as file:
+            self.by_words = word_by_word(json.load(file))
         # Whether the steps before the merges leave a word of lower-case ASCII letters as it is.
         probes = ["a", "the", "tokenizer", "qzxjkv", "abcdefghijklmnopqrstuvwxyz", "aaaaaaaa"]
         self.plain = all(
@@ -106,6 +131,10 @@ class Encoder:
 
     def encode(self, texts: list[bytes | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each followed by `end`; number of each text's ids, that one included)."""
+        if not self.by_words:
+            coded = self.batch([(t or b"").decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+            lists = [np.append(np.array(c.ids, np.int32), np.int32(end)) for c in coded]
+            return np.concatenate(lists), np.fromiter(map(len, lists), np.int64, len(lists))
         if len(self.known) > self.most:
             self.forget()
         split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]

@@ -1,5 +1,6 @@
 """Token files against the tokenizers library itself."""
 
+import json
 import random
 import zlib
 
@@ -79,3 +80,24 @@ def test_layout_of_the_files(spark, tmp_path):
     assert column.has_offset_index and column.has_column_index
     plan = tokenfile.read(spark, path).select("doc_id", "start")._jdf.queryExecution().toString()
     assert "ids" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_are_the_librarys_for_every_vocabulary(name):
+    t, e = Tokenizer.from_file(public_tokenizer(name)), tokenfile.Encoder(public_tokenizer(name))
+    assert e.by_words == (name == "word_bpe_49k.json")
+    texts = ["Hello World, two  spaces", "", None, " lead\n\ntail ", "it's A<|endoftext|>b", "\u00dcber \u4e2d\u6587 7x!"] * 2
+    ids, sizes = e.encode([None if x is None else x.encode() for x in texts], 1)
+    ends = np.cumsum(sizes)
+    for x, a, b in zip(texts, ends - sizes, ends):
+        assert ids[a:b].tolist() == t.encode(x or "", add_special_tokens=False).ids + [1]
+
+
+def test_settings_that_need_whole_texts():
+    with open(PATH, encoding="utf-8") as file:
+        settings = json.load(file)
+    assert tokenfile.word_by_word(settings)
+    assert not tokenfile.word_by_word(settings | {"normalizer": None})
+    assert not tokenfile.word_by_word(settings | {"pre_tokenizer": {"type": "Whitespace"}})
+    assert not tokenfile.word_by_word(settings | {"post_processor": {"type": "ByteLevel"}})
+    assert not tokenfile.word_by_word(settings | {"added_tokens": [settings["added_tokens"][0] | {"content": "[SEP]"}]})
