@@ -46,6 +46,46 @@ def cut_points(df: DataFrame, key: str, by: list[str], rows_per_range: int, most
     return cut_grid.select(*by, F.array_distinct(F.filter("_grid", lambda x, i: (i + 1) % F.col("_step") == 0)).alias("_cuts"))
 
 
+def exact_quantile(
+    df: DataFrame, key: str, q: float, by: list[str] | None = None, name: str = "quantile", rows_per_range: int = 50_000, most_ranges: int = 256
+) -> DataFrame:
+    """(by, name): the exact `q` quantile of numeric `key` per group, interpolated between its two neighbours.
+
+    The range of values that holds the two ranks is narrowed round by round: cut points from each
+    group's sketch, counts per range, and only the ranges with the ranks stay. After the first round
+    equal values are one row with their number. When no group has more than `rows_per_range`
+    distinct values left, these are added up in order. Nulls do not count; a group without values has no row.
+    """
+    groups = by or ["_all"]
+    rows = df.filter(F.col(key).isNotNull()).withColumn("_n", F.lit(1).cast("long")).withColumn("_all", F.lit(1)).select(*groups, key, "_n")
+    same = lambda left, right, on=groups: [left[g].eqNullSafe(right[g]) for g in on]
+    place = F.lit(q) * (F.sum("_n") - 1)
+    ranks = cut(rows.groupBy(*groups).agg(F.floor(place).alias("_low"), F.ceil(place).alias("_high"), (place - F.floor(place)).alias("_share")))
+    old, widest = [ranks], None
+    while True:
+        points = cut(cut_points(rows, key, groups, 1, most_ranges))
+        at = F.size(F.filter("_cuts", lambda c: c < F.col(key))).alias("_range")
+        ranged = rows.join(points, same(rows, points)).select(*[rows[g] for g in groups], key, "_n", at)
+        counts = ranged.groupBy(*groups, "_range").agg(F.sum("_n").alias("_in"))
+        upto = W.partitionBy(*groups).orderBy("_range").rowsBetween(W.unboundedPreceding, 0)
+        counts = counts.withColumn("_end", F.sum("_in").over(upto)).withColumn("_before", F.col("_end") - F.col("_in"))
+        held = counts.join(ranks, same(counts, ranks)).filter("_high >= _before AND _low < _end")
+        held = cut(held.select(*[counts[g] for g in groups], "_range", "_before", "_low", "_high", "_share"))
+        rows = cut(ranged.join(held, same(ranged, held, [*groups, "_range"]), "left_semi").groupBy(*groups, key).agg(F.sum("_n").alias("_n")))
+        first = F.min("_before")
+        ranks = cut(held.groupBy(*groups, "_share").agg((F.min("_low") - first).alias("_low"), (F.min("_high") - first).alias("_high")))
+        for table in [*old, points, held]:
+            drop_cut(table)
+        old, last = [rows, ranks], widest
+        widest = rows.groupBy(*groups).agg(F.count("*").alias("n")).agg(F.max("n")).collect()[0][0] or 0  # one number
+        if widest <= rows_per_range or widest == last:
+            break
+    ended = rows.withColumn("_end", F.sum("_n").over(W.partitionBy(*groups).orderBy(key).rowsBetween(W.unboundedPreceding, 0)))
+    value = lambda rank: F.min(F.when(F.col("_end") > F.col(rank), F.col(key))).cast("double")
+    found = ended.join(ranks, same(ended, ranks)).groupBy(*[ended[g] for g in groups], "_share").agg(value("_low").alias("_a"), value("_high").alias("_b"))
+    return found.select(*(by or []), (F.col("_a") * (1 - F.col("_share")) + F.col("_b") * F.col("_share")).alias(name))
+
+
 def running_totals(
     df: DataFrame, key: str, totals: dict[str, str], by: list[str] | None = None, rows_per_range: int = 50_000, most_ranges: int = 1024
 ) -> DataFrame:

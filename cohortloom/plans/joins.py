@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cohortloom.functions import codes
-from cohortloom.functions.ordered import dense_index, running_count
+from cohortloom.functions.ordered import dense_index, exact_quantile, running_count
 from cohortloom.operators import cohort, etl
 from cohortloom.operators import relational as R
 from cohortloom.plans.registry import query
 from cohortloom.plans.views import in_list, unit, with_views
+from cohortloom.session import cut
 from cohortloom.sources import adapters as src
 
 
@@ -198,6 +199,20 @@ def agg_percentile_exact(spark, d):
     return lengths.agg(F.percentile("days", F.lit(0.5), F.col("n")).alias("median_days"))
 
 
+@query("agg_percentile_exact_values", """
+    SELECT CASE WHEN o.o_custkey % 4 = 0 THEN 'dead' ELSE 'alive' END AS cohort, l.l_returnflag AS flag,
+           round(quantile_cont(CAST(l.l_extendedprice AS DOUBLE), 0.5), 4) AS median_price
+    FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY 1, 2""")
+def agg_percentile_exact_values(spark, d):
+    """The median of a continuous value by cohort and flag; no group is sorted or held whole."""
+    dead = F.when(F.col("o_custkey") % 4 == 0, "dead").otherwise("alive").alias("cohort")
+    orders = src.table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), dead)
+    prices = src.table(spark, d, "lineitem").select("l_orderkey", F.col("l_returnflag").alias("flag"), F.col("l_extendedprice").cast("double").alias("price"))
+    values = cut(prices.join(orders, "l_orderkey").select("cohort", "flag", "price"))  # read by every step of the first round
+    found = exact_quantile(values, "price", 0.5, ["cohort", "flag"], "median_price")
+    return found.select("cohort", "flag", F.round("median_price", 4).alias("median_price"))
+
+
 @query("agg_multi_flatten", with_views("clinical_events", """
     SELECT event_id, min(value) AS value_min, max(value) AS value_max, min(event_time) AS event_time_min,
            max(event_time) AS event_time_max FROM clinical_events GROUP BY 1"""))

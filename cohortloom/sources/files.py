@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortloom.functions.columns import file_folder, number_or_null
@@ -46,14 +47,20 @@ def csv_as_table(spark: SparkSession, path: str, name: str | None = None, schema
 def read_svmlight(spark: SparkSession, path: str) -> DataFrame:
     """svmlight text in long form (line, label, idx, value); indices as written.
 
-    `line` tells the rows of the file apart (file order within a split, not consecutive numbers). A
-    line without pairs gives one row with null idx and value.
+    `line` counts the lines from 0, file by file in the order of their names and from top to bottom in
+    each. A line without pairs gives one row with null idx and value.
     """
-    rows = spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("line"), F.split(F.trim("value"), r"\s+").alias("parts")
-    )
+    split = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    rows = spark.read.text(path).select(*split, F.monotonically_increasing_id().alias("at"), F.split(F.trim("value"), r"\s+").alias("parts"))
+    # One task reads a split from top to bottom: its first id and its number of lines place all its rows.
+    sizes = rows.groupBy("file", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    inside = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.groupBy("file").agg(F.sum("n").alias("lines")).select("file", F.coalesce(F.sum("lines").over(earlier), F.lit(0)).alias("start"))
+    skipped = sizes.select("file", "block", "first", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("skip")).join(starts, "file")
+    placed = rows.join(skipped, ["file", "block"]).withColumn("line", F.col("start") + F.col("skip") + F.col("at") - F.col("first"))
     pairs = F.filter(F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0))), lambda p: p.contains(":"))
-    long = rows.select("line", F.col("parts")[0].cast("double").alias("label"), F.explode_outer(pairs).alias("pair"))
+    long = placed.select("line", F.col("parts")[0].cast("double").alias("label"), F.explode_outer(pairs).alias("pair"))
     cell = F.split("pair", ":")
     return long.select("line", "label", cell[0].cast("int").alias("idx"), cell[1].cast("double").alias("value"))
 

@@ -8,6 +8,7 @@ from cohortloom.functions import ordered
 from cohortloom.operators import cluster, evaluate, nmf, relational, sgd
 from cohortloom.plans import QUERIES
 from cohortloom.session import work_path
+from cohortloom.sources import files
 from cohortloom.streaming import kmeans as stream
 
 
@@ -42,6 +43,44 @@ def test_groups_on_different_scales_are_cut_evenly(spark):
     assert {(r.g, r.k): r.total for r in got.collect()} == {(g, k): sizes[g][0] - round(k / sizes[g][1]) for g, k, _ in rows}
 
 
+@pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.9, 1.0])
+def test_exact_quantile_narrows_to_the_neighbours(spark, q):
+    """Groups on other scales, one value in a third of the rows, ties, nulls, a null group; ranges of 20 values."""
+    rows = [("a", (k * 7919 % 3000) * 0.37) for k in range(3000)] + [("a", 400.0)] * 1500 + [("b", -1e9 + k % 7) for k in range(500)]
+    rows += [(None, float(k)) for k in range(10)] + [("c", None), ("d", 2.5), ("a", None)]
+    df = spark.createDataFrame(rows, "g string, k double")
+    got = {r.g: r.m for r in ordered.exact_quantile(df, "k", q, ["g"], "m", rows_per_range=20, most_ranges=16).collect()}
+    values = {}
+    for g, k in rows:
+        if k is not None:
+            values.setdefault(g, []).append(k)
+    assert got == {g: pytest.approx(float(np.quantile(v, q)), rel=1e-12) for g, v in values.items()}
+    whole = ordered.exact_quantile(df, "k", q, rows_per_range=20).collect()
+    assert [r.quantile for r in whole] == [pytest.approx(float(np.quantile([k for _, k in rows if k is not None], q)), rel=1e-12)]
+
+
+def test_exact_quantile_of_nothing(spark):
+    assert ordered.exact_quantile(spark.createDataFrame([(None,)], "k double"), "k", 0.5).collect() == []
+
+
+def test_svmlight_lines_are_numbered_in_file_order(spark, tmp_path):
+    """Line k of a file is row k, over splits of 64 bytes and two files."""
+    texts = [[f"{k % 2} {k}:0.5 {k + 1}:{k}.25" if k % 5 else f"{k % 2}" for k in range(n)] for n in (300, 40)]
+    for name, lines in zip(("a.txt", "b.txt"), texts, strict=True):
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        rows = files.read_svmlight(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = []
+    for line, k in enumerate([*range(300), *range(40)]):
+        want += [(line, k % 2, k, 0.5), (line, k % 2, k + 1, k + 0.25)] if k % 5 else [(line, k % 2, None, None)]
+    assert sorted((r.line, r.label, r.idx, r.value) for r in rows if r.idx is not None) == sorted(w for w in want if w[2] is not None)
+    assert sorted(r.line for r in rows if r.idx is None) == [w[0] for w in want if w[2] is None]
+
+
 def test_cut_points_are_bounded_and_one_range_needs_none(spark):
     df = spark.createDataFrame([("a", float(k)) for k in range(5000)] + [("b", 1.0)], "g string, k double")
     points = {r.g: r._cuts for r in ordered.cut_points(df, "k", ["g"], 10, 16).collect()}
