@@ -251,17 +251,20 @@ def stream_kmeans(spark, d):
     ).select("cluster", "col", "weight", (F.round("c", 8) + 0.0).alias("center"))
 
 
-@query("stream_kmeans_batches", with_views("signed_entries", """
-    SELECT CAST(sum(weight) AS BIGINT) AS n_points FROM (SELECT count(DISTINCT row) AS weight FROM signed_entries)"""))
+@query("stream_kmeans_batches", """
+    SELECT CAST(k - 1 AS INTEGER) AS col, count(*) AS n_points, round(sum(CAST(embedding[k] AS DOUBLE)), 5) + 0.0 AS total
+    FROM embeddings, range(1, 65) t(k) GROUP BY k""")
 def stream_kmeans_batches(spark, d):
-    """Eight files, one per micro-batch: every point is counted once in the centre weights."""
+    """Eight files, one per micro-batch. Without decay the centres times their weights add up to the points, position by position."""
     path = work_path(spark, "batches")
     src.vectors(spark, d).select("id", "features").repartition(8, "id").write.parquet(path)
     points = (
         spark.readStream.schema("id BIGINT, features ARRAY<DOUBLE>").option("maxFilesPerTrigger", 1).parquet(path)
     )
     last = stream.run(points, stream.start_centers(K, 64))
-    return stream.centers_table(spark, last).agg(F.sum("weight").cast("bigint").alias("n_points"))
+    entries = stream.centers_table(spark, last).select("weight", F.posexplode("center").alias("col", "c"))
+    total = F.round(F.sum(F.col("weight") * F.col("c")), 5) + 0.0
+    return entries.groupBy("col").agg(F.sum("weight").cast("bigint").alias("n_points"), total.alias("total"))
 
 
 @query("cluster_label_join", "WITH labels_q AS (" + _LABELS_SQL + """)

@@ -2,8 +2,9 @@
 
 Each micro-batch assigns its points to the current centres and moves every centre to
     n' = n * decay + m        c' = (c * n * decay + sum of its points) / n'
-The centres are a small table, k x width; every batch writes its own version, named by the batch
-number, so a batch that is run again overwrites the same version.
+The centres are a table, one row per cluster; every batch reads the version before it and writes its
+own, named by the batch number, so a batch that is run again overwrites the same version. They pass
+from table to table: none comes to the driver, and no plan holds their values or grows with their number or width.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.operators.cluster import cluster_sums, nearest_center
+from cohortloom.operators.cluster import assign_nearest
 from cohortloom.session import work_path
 
 Centers = list[tuple[list[float], float]]
@@ -22,26 +23,25 @@ def start_centers(k: int, width: int) -> Centers:
     return [([((i * 7 + c * 13) % 17 - 8) / 80.0 for i in range(width)], 0.0) for c in range(k)]
 
 
-def updated(batch: DataFrame, centers: Centers, decay: float) -> Centers:
-    """The centres after one batch (id, features)."""
-    width = len(centers[0][0])
-    sums = cluster_sums(nearest_center(batch, [c for c, _ in centers]), width).collect()  # at most k rows
-    out = [(c, n * decay) for c, n in centers]
-    for row in sums:
-        center, n = out[row["cluster"]]
-        total = n + row["m"]
-        out[row["cluster"]] = ([(c * n + s) / total for c, s in zip(center, row["sums"])], total)
-    return out
+def updated(batch: DataFrame, centers: DataFrame, decay: float) -> DataFrame:
+    """The centres (cluster, weight, center) after one batch (id, features)."""
+    packed = centers.agg(F.array_sort(F.collect_list(F.struct("cluster", "center"))).alias("all")).select(F.col("all.center"))
+    assigned = assign_nearest(batch, packed.scalar())
+    sums = assigned.select("cluster", F.posexplode("features").alias("at", "value")).groupBy("cluster", "at").agg(
+        F.sum("value").alias("s"), F.count("*").alias("m")
+    )
+    entries = centers.select("cluster", (F.col("weight") * decay).alias("n"), F.posexplode("center").alias("at", "c"))
+    total = F.col("n") + F.coalesce("m", F.lit(0))
+    moved = entries.join(sums, ["cluster", "at"], "left").select(
+        "cluster", "at", total.alias("weight"), F.when(F.col("m").isNull(), F.col("c")).otherwise((F.col("c") * F.col("n") + F.col("s")) / total).alias("c")
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("at", "c")))["c"]
+    return moved.groupBy("cluster").agg(F.max("weight").alias("weight"), ordered.alias("center"))
 
 
-def _save(spark: SparkSession, centers: Centers, path: str) -> None:
+def _table(spark: SparkSession, centers: Centers) -> DataFrame:
     rows = [(i, n, [float(v) for v in c]) for i, (c, n) in enumerate(centers)]
-    spark.createDataFrame(rows, "cluster INT, weight DOUBLE, center ARRAY<DOUBLE>").write.mode("overwrite").parquet(path)
-
-
-def _load(spark: SparkSession, path: str) -> Centers:
-    rows = spark.read.parquet(path).orderBy("cluster").collect()  # k rows
-    return [(list(r["center"]), r["weight"]) for r in rows]
+    return spark.createDataFrame(rows, "cluster INT, weight DOUBLE, center ARRAY<DOUBLE>")
 
 
 def run(stream: DataFrame, centers: Centers, decay: float = 1.0, root: str | None = None) -> str:
@@ -49,11 +49,12 @@ def run(stream: DataFrame, centers: Centers, decay: float = 1.0, root: str | Non
     spark = stream.sparkSession
     root = root or work_path(spark, "stream-kmeans")
     version = lambda b: f"{root}/centers/batch={b}"
-    _save(spark, centers, version(-1))
+    _table(spark, centers).write.parquet(version(-1))
 
     def step(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        _save(spark, updated(batch, _load(spark, version(batch_id - 1)), decay), version(batch_id))
+        before = batch.sparkSession.read.parquet(version(batch_id - 1))
+        updated(batch, before, decay).write.mode("overwrite").parquet(version(batch_id))
         batch.unpersist()
 
     query = (

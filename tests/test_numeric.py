@@ -258,3 +258,14 @@ def test_registered_factorisations_run_to_the_end(spark, monkeypatch, name):
     with pytest.raises(Reached):
         QUERIES[name](spark, "/root/testdata/sf0.001")
     assert seen == [(3, (), {})]
+
+
+def test_plan_of_a_stream_step_does_not_grow_with_the_centers(spark, tmp_path):
+    lengths = []
+    for k, width in ((2, 3), (40, 300)):
+        path = str(tmp_path / f"{k}")
+        stream._table(spark, stream.start_centers(k, width)).write.parquet(path)
+        points = spark.createDataFrame([(1, [0.5] * width)], "id BIGINT, features ARRAY<DOUBLE>")
+        step = stream.updated(points, spark.read.parquet(path), 1.0)
+        lengths.append(len(step._jdf.queryExecution().optimizedPlan().toString()))
+    assert abs(lengths[1] - lengths[0]) < 200
