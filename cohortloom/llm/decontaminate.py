@@ -31,7 +31,7 @@ _WORD_BYTES = bytes(
 #: log2 of the bits of a filter.
 FILTER_BITS = 24
 #: Words handled at once inside a task.
-CHUNK = 200_000
+CHUNK = 80_000
 _P = np.uint64(0x100000001B3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -43,7 +43,7 @@ def tokens(text: bytes | None) -> list[bytes]:
 class Hasher(dict):
     """64-bit numbers of words, remembered up to a bound; hash(word) of Python differs between workers, so not that."""
 
-    def __init__(self, most: int = 200_000):
+    def __init__(self, most: int = 100_000):
         import xxhash
 
         super().__init__()

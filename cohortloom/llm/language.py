@@ -32,7 +32,7 @@ from cohortloom.session import cut, drop_cut
 ORDER = 4
 SPACE = 32
 #: Bytes of text handled at once inside a task.
-CHUNK = 500_000
+CHUNK = 150_000
 #: Odd constant of the multiplicative hash; a bijection on 64 bits, so equal hashes are equal n-grams.
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _MASK = [np.uint64((1 << 16 * k) - 1) for k in range(ORDER)] + [np.uint64(0xFFFFFFFFFFFFFFFF)]
