@@ -15,6 +15,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterable, Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,11 @@ from pyspark.sql import functions as F
 from cohortloom.llm.text import utf8
 from cohortloom.session import work_path
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 #: Bytes of text handled at once inside a task.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 #: Options of the Parquet writer by encoding.
 WRITER = {
     "dictionary": {"parquet.enable.dictionary": "true", "parquet.dictionary.page.size": str(1 << 20)},
@@ -42,6 +46,16 @@ _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def settings_of(tokenizer: Tokenizer) -> dict:
+    """The steps around the merges and the added strings, without the vocabulary, which takes much memory when parsed."""
+    state = lambda step: None if step is None else json.loads(step.__getstate__())
+    names = ("content", "normalized", "lstrip", "rstrip", "single_word")
+    return {
+        "normalizer": state(tokenizer.normalizer), "pre_tokenizer": state(tokenizer.pre_tokenizer), "post_processor": state(tokenizer.post_processor),
+        "added_tokens": [{n: getattr(t, n) for n in names} for t in tokenizer.get_added_tokens_decoder().values()],
+    }
+
+
 def word_by_word(settings: dict) -> bool:
     """Whether the tokenizer of these settings lower-cases, drops white space and never joins two words.
 
@@ -80,8 +94,7 @@ class Encoder:
         self.tokenizer.no_padding()
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.most = most
-        with open(path, encoding="utf-8") as file:
-            self.by_words = word_by_word(json.load(file))
+        self.by_words = word_by_word(settings_of(self.tokenizer))
         # Whether the steps before the merges leave a word of lower-case ASCII letters as it is.
         probes = ["a", "the", "tokenizer", "qzxjkv", "abcdefghijklmnopqrstuvwxyz", "aaaaaaaa"]
         self.plain = all(

@@ -94,8 +94,10 @@ def test_ids_are_the_librarys_for_every_vocabulary(name):
 
 
 def test_settings_that_need_whole_texts():
+    settings = tokenfile.settings_of(Tokenizer.from_file(PATH))
     with open(PATH, encoding="utf-8") as file:
-        settings = json.load(file)
+        whole = json.load(file)
+    assert all(settings[k] == whole[k] for k in ("normalizer", "pre_tokenizer", "post_processor"))
     assert tokenfile.word_by_word(settings)
     assert not tokenfile.word_by_word(settings | {"normalizer": None})
     assert not tokenfile.word_by_word(settings | {"pre_tokenizer": {"type": "Whitespace"}})
