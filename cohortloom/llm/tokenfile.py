@@ -32,7 +32,7 @@ if TYPE_CHECKING:
     from tokenizers import Tokenizer
 
 #: Bytes of text handled at once inside a task.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
 #: Options of the Parquet writer by encoding.
 WRITER = {
     "dictionary": {"parquet.enable.dictionary": "true", "parquet.dictionary.page.size": str(1 << 20)},
