@@ -9,22 +9,22 @@ adding the sizes of the parts before gives a document's place in the whole.
 
 from __future__ import annotations
 
-import collections
 import itertools
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cohortloom.llm.text import pieces as ranges
 from cohortloom.llm.text import utf8
 from cohortloom.session import work_path
 
@@ -32,14 +32,24 @@ if TYPE_CHECKING:
     from tokenizers import Tokenizer
 
 #: Bytes of text handled at once inside a task.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Options of the Parquet writer by encoding.
 WRITER = {
     "dictionary": {"parquet.enable.dictionary": "true", "parquet.dictionary.page.size": str(1 << 20)},
     "delta": {"parquet.enable.dictionary": "false", "parquet.writer.version": "PARQUET_2_0"},
 }
-#: Punctuation that ends a piece of letters before it and is a piece of its own.
-_BEHIND = b".,;:!?"
+#: Kinds of bytes: ASCII white space; letters; digits; other visible ASCII; what makes a word go whole to the library.
+_SPACE, _LETTER, _DIGIT, _OTHER, _WHOLE = range(5)
+_KINDS = bytes(
+    _SPACE if c in b" \t\n\v\f\r" else _LETTER if chr(c).isalpha() and c < 128 else _DIGIT if chr(c).isdigit() and c < 128
+    else _OTHER if 33 <= c <= 126 and c != ord("'") else _WHOLE for c in range(256)
+)
+#: The alphabet of byte-level tokenizers: visible Latin-1 characters stand for their bytes, the other bytes follow from U+0100 on.
+_HIDDEN = [c for c in range(256) if not (33 <= c <= 126 or 161 <= c <= 172 or c >= 174)]
+_ALPHABET = {c: 256 + i for i, c in enumerate(_HIDDEN)}
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+_ODD = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)]
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 #: The steps before the merges for which texts are known to be encoded word by word.
 _NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -74,18 +84,97 @@ def word_by_word(settings: dict) -> bool:
     )
 
 
+class Pieces:
+    """Numbers of byte strings of 1 to 16 bytes without zeros: an open-addressing table of their bytes as two whole numbers.
+
+    The bytes themselves are compared, so no two strings ever share a number.
+    """
+
+    def __init__(self) -> None:
+        self.slots, self.filled = np.full(1 << 16, -1, np.int32), 0
+        self.first, self.second = np.zeros(1, np.uint64), np.zeros(1, np.uint64)
+
+    def place_of(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        mixed = (first ^ second * _ODD[0]) * _ODD[1]
+        return ((mixed ^ mixed >> np.uint64(32)) & np.uint64(len(self.slots) - 1)).astype(np.int64)
+
+    def look_up(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The number of each string, -1 for one that has none."""
+        out, left, at = np.full(len(first), -1, np.int64), np.arange(len(first)), self.place_of(first, second)
+        while len(left):
+            number = self.slots[at]
+            same = (number >= 0) & (self.first[number] == first) & (self.second[number] == second)
+            out[left[same]] = number[same]
+            on = np.flatnonzero(~same & (number >= 0))
+            left, first, second, at = left[on], first[on], second[on], at[on] + 1 & len(self.slots) - 1
+        return out
+
+    def add(self, first: np.ndarray, second: np.ndarray, start: int) -> None:
+        """Give the numbers from `start` on to distinct strings that have none."""
+        pad = np.zeros(max(0, start - len(self.first)), np.uint64)
+        self.first = np.concatenate([self.first[:start], pad, first])
+        self.second = np.concatenate([self.second[:start], pad, second])
+        numbers = np.arange(start, start + len(first), dtype=np.int32)
+        self.filled += len(first)
+        if 2 * self.filled > len(self.slots):
+            numbers = np.concatenate([self.slots[self.slots >= 0], numbers])
+            self.slots = np.full(1 << (4 * self.filled - 1).bit_length(), -1, np.int32)
+        at = self.place_of(self.first[numbers], self.second[numbers])
+        while len(numbers):
+            empty = self.slots[at] < 0
+            self.slots[at[empty]] = numbers[empty]
+            on = np.flatnonzero(self.slots[at] != numbers)
+            numbers, at = numbers[on], at[on] + 1 & len(self.slots) - 1
+
+
+def cut_pieces(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """(begin, end, kind) of the pieces of a text, as a tokenizer that works word by word cuts them, and the text lowered.
+
+    Inside words of ASCII and the letters of U+00C0 to U+00FF these are runs of letters, single digits and
+    runs of other characters; only these letters are lowered. A word with an apostrophe, a control
+    character, `<|` or any other character is one piece, of kind _WHOLE. The lowered text ends in zeros.
+    """
+    kind = np.frombuffer(bytearray(raw.translate(_KINDS)), np.uint8)
+    low = bytearray(raw.lower() + bytes(24 - len(raw) % 8))
+    lead = np.flatnonzero(np.frombuffer(raw, np.uint8) == 0xC3)
+    if len(lead):
+        code = np.frombuffer(low, np.uint8)
+        tail = code[lead + 1]
+        letter = (tail >= 0x80) & (tail <= 0xBF) & (tail != 0x97) & (tail != 0xB7)
+        kind[lead[letter]] = kind[lead[letter] + 1] = _LETTER
+        code[lead[letter & (tail <= 0x9E)] + 1] += 0x20
+    whole = kind == _WHOLE
+    if b"<|" in raw:
+        code = np.frombuffer(raw, np.uint8)
+        whole[:-1] |= (code[:-1] == ord("<")) & (code[1:] == ord("|"))
+    if whole.any():
+        inside = kind != _SPACE
+        opens = inside.copy()
+        opens[1:] &= ~inside[:-1]
+        word = np.cumsum(opens, dtype=np.int32)
+        hit = np.zeros(int(word[-1]) + 1, bool)
+        hit[word[whole]] = True
+        kind = np.where(hit[word] & inside, np.uint8(_WHOLE), kind)
+    edge = kind == _DIGIT
+    edge[1:] |= kind[1:] != kind[:-1]
+    edge[:1] = True
+    marks = np.flatnonzero(edge)
+    piece = kind[marks] != _SPACE
+    begin, end = marks[piece], np.append(marks[1:], len(raw))[piece]
+    return begin, end, kind[begin], bytes(low)
+
+
 class Encoder:
     """A tokenizer of the tokenizers library that remembers the ids of what it met before, up to a bound.
 
     Where its settings lower-case and drop white space (`word_by_word`), its pieces never reach over
-    a white-space character, so a text's ids are those of its words, cut at ASCII white space. A word
-    of ASCII letters with punctuation behind it is two pieces, the letters and the punctuation. Any
+    a white-space character, so a text's ids are those of the pieces of its words (`cut_pieces`). Any
     other tokenizer gets whole texts and nothing is remembered.
-    Pieces are known by 64-bit hashes, in sorted arrays. A-Z are lowered first, but not where a special
-    string, which is matched as written, may stand.
+    Pieces are known by their bytes: in arrays up to 16 of them, in a dictionary beyond that. A-Z are
+    lowered first, but not in words that go to the library as they are.
     """
 
-    def __init__(self, path: str, most: int = 2_000_000):
+    def __init__(self, path: str, most: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -95,52 +184,89 @@ class Encoder:
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         self.most = most
         self.by_words = word_by_word(settings_of(self.tokenizer))
-        # Whether the steps before the merges leave a word of lower-case ASCII letters as it is.
-        probes = ["a", "the", "tokenizer", "qzxjkv", "abcdefghijklmnopqrstuvwxyz", "aaaaaaaa"]
-        self.plain = all(
-            self.tokenizer.encode(p, add_special_tokens=False).ids == [t.id for t in self.tokenizer.model.tokenize(p)] for p in probes
-        )
+        # Whether the steps before the merges leave a word of lower-case letters as it is, but for the alphabet of bytes.
+        probes = ["a", "the", "tokenizer", "qzxjkv", "abcdefghijklmnopqrstuvwxyz", "aaaaaaaa", *(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)]
+        self.plain = all(self.tokenizer.encode(p, add_special_tokens=False).ids == self.merge(p.encode()) for p in probes)
         self.forget()
 
     def forget(self) -> None:
-        self.known = np.zeros(0, np.uint64)
+        self.short, self.long, self.held = Pieces(), {}, 0
         self.begin, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each piece; words of lower-case ASCII letters need the library's merges alone."""
-        out: list[list[int]] = [[]] * len(pieces)
+    def merge(self, word: bytes) -> list[int]:
+        """Ids of a word by the library's merges alone."""
+        text = word.decode() if word.isascii() else word.decode("latin-1").translate(_ALPHABET)
+        return [t.id for t in self.tokenizer.model.tokenize(text)]
+
+    def remember(self, pieces: list[bytes], lowered: np.ndarray) -> None:
+        """Give the next numbers to new pieces; those that are lower-case letters alone need only the merges."""
+        lists: list[list[int]] = [[]] * len(pieces)
         rest = []
-        for i, p in enumerate(pieces):
-            if self.plain and p.isalpha() and p.islower():
-                out[i] = [t.id for t in self.tokenizer.model.tokenize(p.decode())]
+        for i, (p, plain) in enumerate(zip(pieces, (lowered & self.plain).tolist(), strict=True)):
+            if plain:
+                lists[i] = self.merge(p)
             else:
                 rest.append(i)
         for a in range(0, len(rest), 5000):
             part = rest[a : a + 5000]
             coded = self.batch([pieces[i].decode("utf-8", "replace") for i in part], add_special_tokens=False)
             for i, c in zip(part, coded, strict=True):
-                out[i] = c.ids
-        return out
-
-    def find(self, pieces: list[bytes]) -> np.ndarray:
-        """Where each of the distinct pieces stands in the sorted arrays; new ones are encoded and put there."""
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, pieces), np.uint64, len(pieces))
-        at = np.searchsorted(self.known, hashes)
-        new = np.ones(len(pieces), bool)
-        inside = at < len(self.known)
-        new[inside] = self.known[at[inside]] != hashes[inside]
-        if new.any():
-            fresh, first = np.unique(hashes[new], return_index=True)
-            chosen = np.flatnonzero(new)[first].tolist()
-            lists = self.encode_pieces([pieces[i] for i in chosen])
-            sizes = np.fromiter(map(len, lists), np.int32, len(lists))
-            spots = np.searchsorted(self.known, fresh)
-            self.known = np.insert(self.known, spots, fresh)
-            self.begin = np.insert(self.begin, spots, len(self.ids) + np.cumsum(sizes, dtype=np.int64) - sizes)
-            self.length = np.insert(self.length, spots, sizes)
-            self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(sizes.sum()))])
-            at = np.searchsorted(self.known, hashes)
-        return at
+                lists[i] = c.ids
+        sizes = np.fromiter(map(len, lists), np.int32, len(lists))
+        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(sizes, dtype=np.int64) - sizes])
+        self.length = np.concatenate([self.length, sizes])
+        self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(sizes.sum()))])
+
+    def numbers(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(number, begin) of each piece of `raw`; new ones are encoded and remembered."""
+        begin, end, kind, low = cut_pieces(raw)
+        size = end - begin
+        out = np.empty(len(begin), np.int64)
+        brief = (size <= 16) & (kind != _WHOLE)
+        short = np.flatnonzero(brief)
+        lanes, at, bits = np.frombuffer(low, "<u8"), begin[short] >> 3, ((begin[short] & 7) << 3).astype(np.uint64)
+        back = np.uint64(64) - bits
+        middle = lanes[at + 1]
+        first = (lanes[at] >> bits | np.where(bits > 0, middle << back, 0)) & _MASKS[np.minimum(size[short], 8)]
+        second = np.zeros(len(short), np.uint64)
+        two = np.flatnonzero(size[short] > 8)
+        second[two] = (middle[two] >> bits[two] | np.where(bits[two] > 0, lanes[at[two] + 2] << back[two], 0)) & _MASKS[size[short][two] - 8]
+        found = self.short.look_up(first, second)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            order = new[np.lexsort((second[new], first[new]))]
+            change = (first[order[1:]] != first[order[:-1]]) | (second[order[1:]] != second[order[:-1]])
+            once = order[np.concatenate(([True], change))]
+            start = len(self.length)
+            spots = short[once]
+            self.remember([low[a:b] for a, b in zip(begin[spots].tolist(), end[spots].tolist(), strict=True)], kind[spots] == _LETTER)
+            self.short.add(first[once], second[once], start)
+            found[new] = self.short.look_up(first[new], second[new])
+        out[short] = found
+        rest = np.flatnonzero(~brief)
+        if len(rest):
+            spans = zip(begin[rest].tolist(), end[rest].tolist(), (kind[rest] == _WHOLE).tolist(), strict=True)
+            words = [(raw if whole else low)[a:b] for a, b, whole in spans]
+            kinds = dict(zip(words, kind[rest].tolist(), strict=True))
+            fresh = [w for w in kinds if w not in self.long]
+            start = len(self.length)
+            self.remember(fresh, np.fromiter((kinds[w] == _LETTER for w in fresh), bool, len(fresh)))
+            self.long.update(zip(fresh, range(start, start + len(fresh)), strict=True))
+            self.held += sum(map(len, fresh)) + 150 * len(fresh)
+            out[rest] = np.fromiter(map(self.long.__getitem__, words), np.int64, len(words))
+        return out, begin
+
+    def encode_words(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of each text's ids)."""
+        if len(self.length) > self.most or len(self.ids) > 16 * self.most or self.held > 64 * self.most:
+            self.forget()
+        raw = b"\n".join(texts) + b"\n"
+        number, begin = self.numbers(raw)
+        sizes = self.length[number].astype(np.int64)
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        flat = self.ids[np.repeat(self.begin[number] - ends[:-1], sizes) + np.arange(ends[-1])]
+        text_ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        return flat, np.diff(ends[np.searchsorted(begin, text_ends)], prepend=0)
 
     def encode(self, texts: list[bytes | None], end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each followed by `end`; number of each text's ids, that one included)."""
@@ -148,29 +274,23 @@ class Encoder:
             coded = self.batch([(t or b"").decode("utf-8", "replace") for t in texts], add_special_tokens=False)
             lists = [np.append(np.array(c.ids, np.int32), np.int32(end)) for c in coded]
             return np.concatenate(lists), np.fromiter(map(len, lists), np.int64, len(lists))
-        if len(self.known) > self.most:
-            self.forget()
-        split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
-        numbers: collections.defaultdict[bytes, int] = collections.defaultdict()
-        numbers.default_factory = numbers.__len__
-        n = sum(map(len, split))
-        at = np.fromiter(map(numbers.__getitem__, itertools.chain.from_iterable(split)), np.int64, n)
-        halves: dict[bytes, int] = {b"": 0}
-        stems, tails = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
-        for i, w in enumerate(numbers):
-            if w[-1] in _BEHIND and (stem := w.rstrip(_BEHIND)).isalpha():
-                tails[i] = halves.setdefault(w[len(stem) :], len(halves))
-                w = stem
-            stems[i] = halves.setdefault(w, len(halves))
-        pairs = np.stack([stems, tails], axis=1)
-        spots = self.find(list(halves))[pairs]
-        lengths, begins = self.length[spots].astype(np.int64), self.begin[spots]
-        owner = np.repeat(np.arange(len(texts)), np.fromiter(map(len, split), np.int64, len(split)))
-        per_text = np.bincount(owner, weights=lengths.sum(axis=1)[at], minlength=len(texts)).astype(np.int64)
-        sizes = lengths[at].ravel()
-        shift = begins[at].ravel() - (np.cumsum(sizes) - sizes)
-        flat = self.ids[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
-        return np.insert(flat, np.cumsum(per_text), end), per_text + 1
+        parts, owner = [], []
+        for i, t in enumerate(texts):
+            for part in split_long(t or b"", CHUNK):
+                parts.append(part)
+                owner.append(i)
+        coded = [self.encode_words(parts[a:b]) for a, b in ranges([len(p) for p in parts], CHUNK)]
+        sizes = np.bincount(owner, weights=np.concatenate([c[1] for c in coded]), minlength=len(texts)).astype(np.int64)
+        return np.insert(np.concatenate([c[0] for c in coded]), np.cumsum(sizes), end), sizes + 1
+
+
+def split_long(text: bytes, most: int) -> Iterator[bytes]:
+    """A text in parts, each cut before the first ASCII white space that follows `most` bytes."""
+    at = 0
+    while (found := _BLANK.search(text, at + most)) is not None:
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:]
 
 
 def encoder(path: str) -> Encoder:

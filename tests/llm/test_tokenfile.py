@@ -103,3 +103,41 @@ def test_settings_that_need_whole_texts():
     assert not tokenfile.word_by_word(settings | {"pre_tokenizer": {"type": "Whitespace"}})
     assert not tokenfile.word_by_word(settings | {"post_processor": {"type": "ByteLevel"}})
     assert not tokenfile.word_by_word(settings | {"added_tokens": [settings["added_tokens"][0] | {"content": "[SEP]"}]})
+
+
+def test_pieces_of_every_kind(monkeypatch):
+    t, e = Tokenizer.from_file(PATH), tokenfile.Encoder(PATH)
+    rng = random.Random(2)
+    alphabet = ["É", "é", "ß", "×", "÷", "ÿ", "Ü", "Ÿ", "ǅ", "K", "A", "z", "0", "9", "$", "&", "<", "|", "'", "'S", "'ll", "’", "\x00", "\x7f", "́", " ", " ", "\n", "ABCDEFGH", "abcdefghijklmnopqrs", "--------"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(4000)]
+    want = [t.encode(x, add_special_tokens=False).ids + [1] for x in texts]
+    for most in (1_000_000, 50):
+        monkeypatch.setattr(tokenfile, "CHUNK", most)
+        ids, sizes = e.encode([x.encode() for x in texts], 1)
+        ends = np.cumsum(sizes)
+        for x, w, a, b in zip(texts, want, ends - sizes, ends, strict=True):
+            assert ids[a:b].tolist() == w, repr(x)
+
+
+def test_bytes_that_are_not_utf8():
+    t, e = Tokenizer.from_file(PATH), tokenfile.Encoder(PATH)
+    for x in (b"\xc3", b"a\xc3 b", b"\xc3A\xc3\xa9", b"\xa9b", b"\xc3\x97\xc3\x89t\xc3\x89"):
+        assert e.encode([x], 1)[0].tolist() == t.encode(x.decode("utf-8", "replace"), add_special_tokens=False).ids + [1]
+
+
+def test_strings_in_one_place_keep_their_own_numbers(monkeypatch):
+    monkeypatch.setattr(tokenfile.Pieces, "place_of", lambda self, first, second: np.full(len(first), len(self.slots) - 1))
+    table, rng = tokenfile.Pieces(), np.random.default_rng(3)
+    keys = np.unique(rng.integers(1, 50, (300, 2)).astype(np.uint64), axis=0)
+    table.add(keys[:100, 0], keys[:100, 1], 0)
+    table.add(keys[100:, 0], keys[100:, 1], 150)
+    got = table.look_up(keys[:, 0], keys[:, 1])
+    assert got.tolist() == [*range(100), *range(150, 50 + len(keys))]
+    assert table.look_up(np.array([77], np.uint64), np.array([0], np.uint64)).tolist() == [-1]
+
+
+def test_a_table_of_pieces_grows():
+    table, keys = tokenfile.Pieces(), np.arange(1, 100_001, dtype=np.uint64)
+    for a in range(0, len(keys), 30_000):
+        table.add(keys[a : a + 30_000], keys[a : a + 30_000], a)
+    assert table.look_up(keys, keys).tolist() == list(range(100_000))
