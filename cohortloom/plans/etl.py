@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cohortloom.operators import etl
 from cohortloom.plans.registry import query
 from cohortloom.plans.views import with_views
+from cohortloom.session import cut
 from cohortloom.sources import adapters as src
 
 
@@ -84,7 +85,7 @@ def feature_index(spark, d):
 
 @query("feature_map_join", with_views("features", "SELECT patient_id, idx, feature_value FROM features"))
 def feature_map_join(spark, d):
-    counts = _counts(spark, d)
+    counts = cut(_counts(spark, d))  # read for the codes and for the features
     return etl.feature_map_join(counts, etl.feature_index(counts))
 
 

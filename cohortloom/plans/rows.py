@@ -9,6 +9,7 @@ from cohortloom.functions import columns as C
 from cohortloom.operators import relational as R
 from cohortloom.plans.registry import query
 from cohortloom.plans.views import with_views
+from cohortloom.session import cut
 from cohortloom.sources import adapters as src
 
 
@@ -206,7 +207,7 @@ def fn_format_pair(spark, d):
     from cohortloom.operators import etl
 
     events = src.clinical_events(spark, d)
-    counts = etl.window_counts(events, etl.index_dates(events, src.mortality(spark, d)))
+    counts = cut(etl.window_counts(events, etl.index_dates(events, src.mortality(spark, d))))
     rows = etl.feature_map_join(counts, etl.feature_index(counts))
     return rows.select("patient_id", F.format_string("%d:%.6f", "idx", F.col("feature_value") / 7.0).alias("pair"))
 
