@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.columns import argmax_index
 from cohortloom.operators.matrix import GUARD, factor_columns, factor_gram, project, start_factor
-from cohortloom.session import cut, drop_cut
+from cohortloom.session import cut, drop_cut, keep_placed, tasks_for
 
 
 @dataclass
@@ -61,7 +61,8 @@ def factorize(entries: DataFrame, k: int, max_rounds: int = 99, tolerance: float
     V is placed by row once. A round passes over V twice, once per factor; the error comes from
     what those passes computed.
     """
-    entries = entries.repartition("row").persist()
+    entries = cut(entries)
+    entries = keep_placed(entries.repartition(tasks_for(entries), "row"))
     try:
         squares = entries.agg(F.sum(F.col("value") * F.col("value"))).first()[0]
         w = cut(start_factor(entries.select("row").distinct(), "row", k))

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.operators.propagate import place
-from cohortloom.session import cut, drop_cut, keep_placed
+from cohortloom.session import cut, drop_cut, keep_placed, tasks_for
 
 
 def _sending(nodes: DataFrame, edges: DataFrame, start: int) -> DataFrame:
     """(src, dst, weight): the edges, one from every dead end back to the start, and for each vertex a row to itself of weight -1.
 
-    With the second kind a dead end is a vertex like others; the third carries a vertex's own sums to the next round.
+    With the second kind a dead end is a vertex like others; the third gives the slot that carries a vertex's own sums to the next round.
     """
     ends = nodes.select(F.col("vid").alias("src")).join(edges.select("src"), "src", "left_anti")
     back = ends.select("src", F.lit(start).cast("bigint").alias("dst"), F.lit(1.0).alias("weight"))
@@ -44,9 +44,8 @@ def restart_walk(
     """
     if tolerance is not None:
         rounds = min(rounds, math.ceil(math.log(tolerance / 2) / math.log(1 - alpha)))
-    slots, placed = place(_sending(nodes, edges, start), rows_per_split)
-    partitions = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shape = keep_placed(slots.repartition(partitions, "vid"))
+    slots, placed = place(_sending(nodes, edges, start), rows_per_split, F.when(F.col("weight") > 0, F.col("dst")))
+    shape = keep_placed(slots.repartition(tasks_for(slots), "vid"))
     state = shape.filter(F.col("vid") == start).select("*", F.lit(1.0).alias("x"), F.lit(0.0).alias("s"))
     before = None
     for step in range(1, rounds + 1):
@@ -54,15 +53,18 @@ def restart_walk(
             F.col("vid").alias("src"),
             ((1 - alpha) * F.col("x") / (F.col("degree") - 1)).alias("x"),
             (F.col("s") + alpha * F.col("x")).alias("s"),
+            F.pmod(F.xxhash64("vid"), F.col("splits")).cast("int").alias("home"),
             F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("slot"),
         )
-        onwards = F.col("weight") > 0
+        # The vertex itself stands first among its targets: that entry takes the sum to the next round, once for all slots.
+        own = F.col("at") == 0
         arrived = (
-            sent.join(placed, ["src", "slot"])
-            .groupBy(F.col("dst").alias("vid"))
-            .agg(F.sum(F.when(onwards, F.col("x")).otherwise(0.0)).alias("x"), F.sum(F.when(onwards, 0.0).otherwise(F.col("s"))).alias("s"))
+            sent.withColumn("s", F.when(F.col("slot") == F.col("home"), F.col("s"))).join(placed, ["src", "slot"])
+            .select("x", "s", F.posexplode(F.concat(F.array("src"), "packed")).alias("at", "vid"))
+            .groupBy("vid")
+            .agg(F.sum(F.when(own, 0.0).otherwise(F.col("x"))).alias("x"), F.sum(F.when(own, F.col("s"))).alias("s"))
         )
-        state = shape.join(arrived, "vid")
+        state = shape.join(arrived.withColumn("s", F.coalesce("s", F.lit(0.0))), "vid")
         if step % cut_every == 0 or step == rounds:
             state = cut(state)
             if before is not None:

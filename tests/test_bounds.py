@@ -25,3 +25,26 @@ def test_packed_keys_do_not_pile_up_in_one_task(spark):
         rows = spark.range(6_000_000).select((F.col("id") * 7919 % 2_000_000).alias("key"))
         counted = rows.repartition("key").select(F.spark_partition_id().alias("task")).groupBy("task").count()
         assert counted.agg(F.max("count")).first()[0] < 500_000
+
+
+def test_rounds_over_a_small_table_have_few_tasks(spark, monkeypatch):
+    """What a loop passes over is cut by its rows, not into as many tasks as the session's shuffles have."""
+    from cohortloom.operators import nmf, propagate
+
+    kept = []
+    for module in (nmf, propagate):
+        monkeypatch.setattr(module, "keep_placed", lambda df, f=module.keep_placed: kept.append(f(df)) or kept[-1])
+    most = spark.sparkContext.defaultParallelism
+    entries = spark.range(200).select((F.col("id") % 20).alias("row"), (F.col("id") % 10).cast("int").alias("col"), F.lit(1.5).alias("value"))
+    edges = spark.range(200).select((F.col("id") % 20).alias("src"), (F.col("id") % 7).alias("dst"), F.lit(0.5).alias("weight"))
+    with _set(spark, **{"spark.sql.shuffle.partitions": "64"}):
+        nmf.factorize(entries, 2, max_rounds=1)
+        slots, placed = propagate.place(edges, 3)
+        arrived = propagate.push(slots.withColumn("x", F.col("vid").cast("double")), placed)
+        sums = {r["vid"]: r["x"] for r in arrived.collect()}
+    assert [k.rdd.getNumPartitions() <= most for k in kept] == [True, True]
+    placed.unpersist()
+    wanted = {}
+    for i in range(200):
+        wanted[i % 7] = wanted.get(i % 7, 0.0) + i % 20 * 0.5
+    assert sums == wanted
