@@ -48,3 +48,17 @@ def test_rounds_over_a_small_table_have_few_tasks(spark, monkeypatch):
     for i in range(200):
         wanted[i % 7] = wanted.get(i % 7, 0.0) + i % 20 * 0.5
     assert sums == wanted
+
+
+def test_latest_events_take_one_shuffle(spark):
+    from cohortloom.operators.graph import latest_events
+
+    rows = [(1, "lab", "a", d, v) for d, v in [("2020-01-01", 9.0), ("2020-02-01", 1.0), ("2020-02-01", 3.0), (None, 50.0)]]
+    rows += [(2, "lab", "a", None, 4.0), (2, "lab", "a", None, 5.0), (3, None, "b", "2020-01-01", None), (3, None, "b", "2020-01-01", 2.0)]
+    events = spark.createDataFrame(rows, "patient_id BIGINT, kind STRING, item STRING, date STRING, value DOUBLE")
+    found = latest_events(events.repartition(4))
+    assert sorted(map(tuple, found.collect()), key=lambda r: r[0]) == [
+        (1, "lab", "a", "2020-02-01", 3.0), (2, "lab", "a", None, None), (3, None, "b", "2020-01-01", 2.0),
+    ]
+    plan = latest_events(events)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
