@@ -36,7 +36,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(tune(spark), sf_dir)
+            return fn(tune(spark, texts=True), sf_dir)
 
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run

@@ -27,7 +27,7 @@ def _stage(fn: Stage) -> Stage:
 
     @functools.wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        tune(spark)
+        tune(spark, texts=True)
         app = spark.sparkContext.applicationId
         left = _LEFT.pop(app, [])
         read = docs.inputFiles() if left else []
@@ -91,7 +91,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`, each written as Parquet to the shared folder and read again."""
-    tune(spark)
+    tune(spark, texts=True)
     docs, docs_path = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = work_path(spark, f"pipeline-{name}")
