@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.columns import hash_unit_for, sigmoid
 from cohortloom.operators.relational import sample_per_model
-from cohortloom.session import cut, drop_cut
+from cohortloom.session import cut, drop_cut, keep_placed, tasks_for
 
 
 def linear_scores(rows: DataFrame, weights: DataFrame) -> DataFrame:
@@ -48,8 +48,12 @@ def zero_weights(sampled: DataFrame) -> DataFrame:
 
 
 def train_batches(sampled: DataFrame, rounds: int, eta: float, mu: float) -> DataFrame:
-    """`rounds` full-batch steps from zero; all models advance in the same jobs."""
-    sampled = sampled.persist()
+    """`rounds` full-batch steps from zero; all models advance in the same jobs.
+
+    The rows are placed by model and id once, so that a step shuffles sums only.
+    """
+    sampled = cut(sampled)
+    sampled = keep_placed(sampled.repartition(tasks_for(sampled), "model_id", "id"))
     try:
         weights = cut(zero_weights(sampled))
         for _ in range(rounds):

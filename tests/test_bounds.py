@@ -62,3 +62,16 @@ def test_latest_events_take_one_shuffle(spark):
     ]
     plan = latest_events(events)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_batch_steps_leave_the_rows_in_place(spark, monkeypatch):
+    """A step joins and sums rows that are placed by model and id: no exchange of them is left."""
+    from cohortloom.operators import sgd
+
+    plans, step = [], sgd.batch_step
+    monkeypatch.setattr(sgd, "batch_step", lambda *a: plans.append((out := step(*a))._jdf.queryExecution().executedPlan().toString()) or out)
+    rows = [(m, i, i % 2, j, 1.0 + j) for m in (1, 2) for i in range(40) for j in range(3)]
+    sampled = spark.createDataFrame(rows, "model_id INT, id BIGINT, y INT, idx BIGINT, value DOUBLE")
+    found = {(r["model_id"], r["idx"]): r["weight"] for r in sgd.train_batches(sampled, 1, 0.5, 0.0).collect()}
+    assert found == {(m, j): 0.0 for m in (1, 2) for j in range(3)}
+    assert not [line for line in plans[0].splitlines() if "hashpartitioning(model_id" in line and ", id#" in line and "ENSURE_REQUIREMENTS" in line]
