@@ -80,6 +80,27 @@ def test_paths_grow_until_no_list_is_crowded(spark):
     assert got == pytest.approx(want)
 
 
+def test_sets_that_share_little_are_no_candidates(spark):
+    """Sets of eight items out of four hundred meet by the thousand, over one item of the first half; hardly one pair is compared."""
+    rnd = random.Random(5)
+    sets = {p: {f"r{i}" for i in rnd.sample(range(400), 8)} for p in range(400)}
+    found, _ = similarity.distinct_sets(item_frame(spark, sets))
+    sized = found.select("set_id", "items", F.size("items").alias("size"))
+    levels, _ = similarity.candidate_lists(sized, 0.5)
+    compared = [similarity._met(open_, depth, 0.5).count() for depth, open_, _ in levels]
+    assert sum(compared) < 100
+
+
+def test_rows_without_hope_leave_a_crowded_list(spark):
+    """Two common items behind two rare ones make no pair at one half: their lists are not kept, nor made longer."""
+    sets = {p: {"x", "y"} | {f"a{p}.{i}" for i in range(2)} for p in range(300)}
+    found, _ = similarity.distinct_sets(item_frame(spark, sets))
+    sized = found.select("set_id", "items", F.size("items").alias("size"))
+    levels, _ = similarity.candidate_lists(sized, 0.5, 50)
+    assert len(levels) <= 2
+    assert all(crowded is None or crowded.isEmpty() for _, _, crowded in levels)
+
+
 def test_no_sets_have_no_pairs(spark):
     assert similarity.all_pairs(spark.createDataFrame([], ITEMS), 0.5).collect() == []
 
