@@ -196,3 +196,28 @@ def test_copies_count_as_on_all_pairs(spark):
     pairs = spark.createDataFrame([(a, b, w) for (a, b), w in weights.items()], "src BIGINT, dst BIGINT, weight DOUBLE")
     got = [r.x for r in pic.embed(pairs, rounds=3, members=start).orderBy("id").collect()]
     assert got == pytest.approx(list(x / x.sum()))
+
+
+def test_rounds_up_to_a_check_are_one_table(spark):
+    """Twelve rounds on sets with copies: the values of all pairs of ids, without a table for every round."""
+    import numpy as np
+
+    from cohortloom.functions.columns import hash_unit
+    from cohortloom.session import noted_paths
+
+    members = [(i, 0) for i in range(3)] + [(3, 3), (4, 4)] + [(i, 5) for i in range(5, 7)] + [(7, 7)]
+    weights = {(0, 3): 0.6, (3, 4): 0.3, (4, 7): 0.2}
+    full = np.zeros((8, 8))
+    for i, a in members:
+        for j, b in members:
+            if i != j:
+                full[i, j] = 1.0 if a == b else weights.get((a, b), weights.get((b, a), 0.0))
+    start = spark.createDataFrame(members, "id BIGINT, set_id BIGINT")
+    x = np.array([r.x for r in start.withColumn("x", hash_unit("id")).orderBy("id").collect()])
+    for _ in range(12):
+        x = (full / full.sum(axis=1, keepdims=True)) @ x
+    pairs = spark.createDataFrame([(a, b, w) for (a, b), w in weights.items()], "src BIGINT, dst BIGINT, weight DOUBLE")
+    with noted_paths() as paths:
+        got = [r.x for r in pic.embed(pairs, rounds=12, tolerance=0.0, members=start).orderBy("id").collect()]
+    assert got == pytest.approx(list(x / x.sum()))
+    assert len(paths) < 12
