@@ -1,6 +1,8 @@
 """Similarity, walks and power iteration against brute force on small graphs."""
 
+import os
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -221,3 +223,55 @@ def test_rounds_up_to_a_check_are_one_table(spark):
         got = [r.x for r in pic.embed(pairs, rounds=12, tolerance=0.0, members=start).orderBy("id").collect()]
     assert got == pytest.approx(list(x / x.sum()))
     assert len(paths) < 12
+
+
+@pytest.mark.parametrize("common", [[], [0, 1, 2], list(range(12))])
+@pytest.mark.parametrize("rows", [(3, 4), (128, 2048)])
+def test_sums_of_blocks_match_brute_force(common, rows):
+    import numpy as np
+
+    rng = random.Random(4)
+    sets = [sorted(rng.sample(range(12), rng.randrange(0, 9))) for _ in range(17)]
+    x = np.array([rng.random() for _ in sets])
+    flat = lambda some: (np.array([len(s) for s in some], dtype=np.int32), np.array([i for s in some for i in s], dtype=np.int32))
+    weight = lambda a, b: w if (w := len({*a} & {*b}) / max(1, len({*a} | {*b}))) >= 0.4 else 0.0
+    want = np.array([sum(weight(a, b) * x[j] for j, b in enumerate(sets) if i != j) for i, a in enumerate(sets)])
+    often = np.array(common, dtype=np.int64)
+    one, two = similarity.similar_sums(flat(sets), flat(sets), x, x, often, 0.4, True, rows)
+    assert one + two == pytest.approx(want)
+    one, two = similarity.similar_sums(flat(sets[:7]), flat(sets[7:]), x[:7], x[7:], often, 0.4, False, rows)
+    assert one == pytest.approx([sum(weight(a, b) * x[7 + j] for j, b in enumerate(sets[7:])) for a in sets[:7]])
+    assert two == pytest.approx([sum(weight(a, b) * x[j] for j, a in enumerate(sets[:7])) for b in sets[7:]])
+
+
+@pytest.mark.parametrize("most_items", [20, 4_000_000])
+def test_sets_compared_anew_embed_as_their_pairs(spark, most_items):
+    """Copies, a patient similar to none, a null one: the same values with the pairs' table and without it."""
+    rng = random.Random(9)
+    pools = ["abcdef", "defghi", "klmn"]
+    people = {i: {"x", *rng.sample(pools[i % 3], rng.randrange(1, 4))} for i in range(25)} | {25: {"alone"}, 26: {"alone2"}, 27: {"alone2"}, None: {"a", "x"}}
+    items = spark.createDataFrame([(p, i) for p, s in people.items() for i in s], "patient_id BIGINT, item STRING")
+    sets, members = similarity.distinct_sets(items)
+    members = members.select(F.col("patient_id").alias("id"), "set_id")
+    pairs = similarity.similar_sets(sets, 0.3).select(F.col("s1").alias("src"), F.col("s2").alias("dst"), F.col("similarity").alias("weight"))
+    want = {r.id: r.x for r in pic.embed(pairs, rounds=12, tolerance=0.0, members=members).collect()}
+    got = {r.id: r.x for r in pic.embed_sets(sets, members, 0.3, rounds=12, tolerance=0.0, most_items=most_items).collect()}
+    assert 25 not in want and 26 in want and got.keys() == want.keys()
+    assert [got[i] for i in want] == pytest.approx([want[i] for i in want])
+
+
+def test_clusters_of_patients_keep_no_pairs(spark, tmp_path):
+    """All of 80 patients share a lab: no table that the query leaves is near their 3,160 pairs."""
+    from cohortloom.plans import QUERIES
+    from cohortloom.session import noted_paths
+
+    write = lambda name, rows, kind: spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    write("part", [(k, f"med {k % 9}", "Brand#1", "LARGE") for k in range(90)], "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING")
+    write("orders", [(k, k, datetime(1995, 1, 1)) for k in range(80)], "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP")
+    lines = [(k, (k * 7 + i * 11) % 90, 1.0) for k in range(80) for i in range(1 + k % 4)]
+    write("lineitem", lines, "l_orderkey BIGINT, l_partkey BIGINT, l_quantity DOUBLE")
+    with noted_paths() as paths:
+        found = QUERIES["pic_patients"](spark, str(tmp_path)).collect()
+    assert sorted(r.id for r in found) == list(range(80))
+    tables = [p for p in paths if os.path.isdir(p.removeprefix("file:"))]
+    assert tables and max(spark.read.parquet(p).count() for p in tables) < 1000
