@@ -114,6 +114,36 @@ def test_all_pairs_of_many_copies_stay_linear(spark):
     assert {(r.p1, r.p2) for r in rows if r.similarity < 1} == {(0, 1000)}
 
 
+@pytest.mark.parametrize("most_items", [20, 4_000_000])
+def test_every_pair_has_its_similarity(spark, most_items):
+    """No threshold: copies and pairs without a common item among them, within a block and across blocks."""
+    sets = random_sets(3) | {100: {"alone"}, 101: {"alone"}}
+    frame = item_frame(spark, sets)
+    want = {(a, b): jaccard(sets[a], sets[b]) for a in sets for b in sets if a < b}
+    assert {0.0, 1.0} < set(want.values())
+    rows = similarity.all_pairs(frame).collect()
+    assert len(rows) == len(want) and {(r.p1, r.p2): r.similarity for r in rows} == want
+    rows = similarity.every_pair(similarity.item_sets(frame), most_items).collect()
+    assert len(rows) == len(want) and {(r.p1, r.p2): r.similarity for r in rows} == want
+
+
+def test_registered_pairs_are_all_of_them(spark, tmp_path):
+    from cohortloom.plans import QUERIES
+
+    write = lambda name, rows, kind: spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    write("part", [(k, ["LARGE", "SMALL"][k % 2]) for k in range(9)], "p_partkey BIGINT, p_type STRING")
+    lines = [(s, (s * 5 + i * 3) % 9) for s in range(12) for i in range(1 + s % 3)]
+    write("lineitem", lines, "l_orderkey BIGINT, l_partkey BIGINT")
+    sets = {s: {x for o, k in lines if o == s for x in (k, "LS"[k % 2])} for s in range(12)}
+    got = {(r.p1, r.p2): r.similarity for r in QUERIES["jaccard_all_pairs"](spark, str(tmp_path)).collect()}
+    assert got == {(a, b): jaccard(sets[a], sets[b]) for a in sets for b in sets if a < b}
+    assert min(got.values()) == 0.0
+
+
+def test_no_patients_have_no_pairs(spark):
+    assert similarity.all_pairs(spark.createDataFrame([], ITEMS)).collect() == []
+
+
 def test_pairs_asked_for(spark):
     sets = {1: {"a", "b"}, 2: {"a", "b"}, 3: {"c"}, 4: {"b", "c", "d"}}
     pairs = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (5, 6)], "p1 BIGINT, p2 BIGINT")
