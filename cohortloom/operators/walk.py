@@ -4,22 +4,164 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.operators.propagate import place
-from cohortloom.session import cut, drop_cut, keep_placed, tasks_for
+from cohortloom.session import cut, drop_cut, even_keys, keep_placed, planned
 
+_PACKED = "block INT, of INT, srcs BINARY, dsts BINARY, starts BINARY, ends BINARY, si BINARY, di BINARY"
+_ROUTED = "block INT, vids BINARY, degree BINARY, send BINARY, take BINARY"
+_SENT = "block INT, of INT, x BINARY"
 
-def _sending(nodes: DataFrame, edges: DataFrame, start: int) -> DataFrame:
-    """(src, dst, weight): the edges, one from every dead end back to the start, and for each vertex a row to itself of weight -1.
 
-    With the second kind a dead end is a vertex like others; the third gives the slot that carries a vertex's own sums to the next round.
+def _ints(cell: pa.Scalar, kind: type = np.int32) -> np.ndarray:
+    return np.frombuffer(cell.as_buffer(), dtype=kind)
+
+
+def _rows(schema: str, rows: list[tuple]) -> pa.Table:
+    """Rows of whole numbers and, as bytes, numpy arrays."""
+    names = [c.split() for c in schema.split(", ")]
+    kinds = [pa.int32() if kind == "INT" else pa.binary() for _, kind in names]
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    plain = lambda v: v.tobytes() if isinstance(v, np.ndarray) else v
+    return pa.table([pa.array([plain(v) for v in c], k) for c, k in zip(columns, kinds, strict=True)], names=[n for n, _ in names])
+
+
+def _pack(table: pa.Table) -> pa.Table:
+    """A block's edges (block, src, from, dst, to): their places among the block's sources and targets, which lie by the blocks of the vertices.
+
+    A row for the block itself (of = -1, srcs the blocks of vertices, starts and ends the bounds of theirs), and a row with the sources and the targets of each block of vertices.
     """
-    ends = nodes.select(F.col("vid").alias("src")).join(edges.select("src"), "src", "left_anti")
-    back = ends.select("src", F.lit(start).cast("bigint").alias("dst"), F.lit(1.0).alias("weight"))
-    own = nodes.select(F.col("vid").alias("src"), F.col("vid").alias("dst"), F.lit(-1.0).alias("weight"))
-    return edges.select("src", "dst", F.lit(1.0).alias("weight")).unionByName(back).unionByName(own)
+    block = table.column("block")[0].as_py()
+    sides, blocks = [], set()
+    for vertex, home in (("src", "from"), ("dst", "to")):
+        ids, first, at = np.unique(table.column(vertex).to_numpy(), return_index=True, return_inverse=True)
+        homes = table.column(home).to_numpy()[first]
+        order = np.lexsort((ids, homes))
+        place = np.empty(len(ids), dtype=np.int32)
+        place[order] = np.arange(len(ids), dtype=np.int32)
+        sides.append((ids[order], homes[order], place[at.reshape(-1)]))
+        blocks |= set(homes.tolist())
+    (srcs, from_, si), (dsts, to, di) = sides
+    of = np.array(sorted(blocks), dtype=np.int32)
+    bounds = lambda homes: np.stack((np.searchsorted(homes, of, "left"), np.searchsorted(homes, of, "right"))).astype(np.int64)
+    starts, ends = bounds(from_), bounds(to)
+    # By target: their sums are then made in order.
+    order = np.argsort(di, kind="stable")
+    rows = [(block, -1, of, None, starts, ends, si[order], di[order])]
+    rows += [(block, int(v), srcs[starts[0, i] : starts[1, i]], dsts[ends[0, i] : ends[1, i]], None, None, None, None) for i, v in enumerate(of)]
+    return _rows(_PACKED, rows)
+
+
+def _route(nodes: pa.Table, packed: pa.Table) -> pa.Table:
+    """A block of vertices (block, vid, degree) with the vertices to send to each block of edges, and those that its sums are for."""
+    if not nodes.num_rows:
+        return _rows(_ROUTED, [])
+    vids = nodes.column("vid").to_numpy()
+    order = np.argsort(vids)
+    vids, degree = vids[order], nodes.column("degree").to_numpy()[order].astype(np.float64)
+
+    def places(cell: pa.Scalar) -> np.ndarray:
+        ids = _ints(cell, np.int64)
+        at = np.searchsorted(vids, ids)
+        known = at < len(vids)
+        known[known] = vids[at[known]] == ids[known]
+        return np.where(known, at, len(vids)).astype(np.int32)  # one place more for ids that are no vertex
+
+    edges = packed.sort_by("block_of_edges")
+    blocks = edges.column("block_of_edges").to_pylist()
+    send, take = [[places(x) for x in edges.column(c)] for c in ("srcs", "dsts")]
+    head = lambda parts: np.array([x for b, p in zip(blocks, parts, strict=True) for x in (b, len(p))], dtype=np.int32)
+    whole = lambda parts: np.concatenate([np.array([len(parts)], dtype=np.int32), head(parts), *parts])
+    return _rows(_ROUTED, [(nodes.column("block")[0].as_py(), vids, degree, whole(send), whole(take))])
+
+
+def _parts(cell: pa.Scalar) -> dict[int, np.ndarray]:
+    """The places of each block that `whole` in `_route` has laid one after another."""
+    data = _ints(cell)
+    n = int(data[0])
+    blocks, sizes = data[1 : 1 + 2 * n : 2].tolist(), data[2 : 2 + 2 * n : 2]
+    ends = 1 + 2 * n + np.cumsum(sizes, dtype=np.int64)
+    return {b: data[e - s : e] for b, s, e in zip(blocks, sizes, ends, strict=True)}
+
+
+def _vertices(start: int, alpha: float, first: bool, last: bool):
+    """A step at the vertices: the sums that arrived give their values, whose shares go to the blocks of edges; at the `last` one the values come back."""
+
+    def run(placed: pa.Table, arrived: pa.Table) -> pa.Table:
+        out = []
+        for i in range(placed.num_rows):
+            vids, degree = _ints(placed.column("vids")[i], np.int64), _ints(placed.column("degree")[i], np.float64)
+            n = len(vids)
+            value = np.zeros(n + 1)
+            if not first:
+                take = _parts(placed.column("take")[i])
+                # In the order of the blocks, so that runs agree.
+                sums = arrived.sort_by("of")
+                for of, x in zip(sums.column("of").to_pylist(), sums.column("x"), strict=True):
+                    value[take[of]] += (1 - alpha) * _ints(x, np.float64)  # a target is there once
+            at = np.searchsorted(vids, start)
+            if at < n and vids[at] == start:
+                value[at] += 1.0 if first else alpha
+            if last:
+                return pa.table([pa.array(vids), pa.array(value[:n])], names=["vid", "p"])
+            share = np.zeros(n + 1)
+            np.divide(value[:n], degree, out=share[:n], where=degree > 0)
+            own = placed.column("block")[i].as_py()
+            out += [(b, own, share[places]) for b, places in _parts(placed.column("send")[i]).items() if len(places)]
+        return pa.table([pa.array([], pa.int64()), pa.array([], pa.float64())], names=["vid", "p"]) if last else _rows(_SENT, out)
+
+    return run
+
+
+def _along(placed: pa.Table, sent: pa.Table) -> pa.Table:
+    """A step along a block's edges: the sources' shares, added up for each target."""
+    out = []
+    for i in range(placed.num_rows):
+        of = _ints(placed.column("srcs")[i]).tolist()
+        starts, ends = [_ints(placed.column(c)[i], np.int64).reshape(2, -1) for c in ("starts", "ends")]
+        # Blocks without a vertex send nothing.
+        x, at = np.zeros(int(starts[1].max(initial=0))), dict(zip(of, starts.T.tolist(), strict=True))
+        for b, cell in zip(sent.column("of").to_pylist(), sent.column("x"), strict=True):
+            x[slice(*at[b])] = _ints(cell, np.float64)
+        sums = np.bincount(_ints(placed.column("di")[i]), weights=x[_ints(placed.column("si")[i])], minlength=int(ends[1].max(initial=0)))
+        own = placed.column("block")[i].as_py()
+        out += [(b, own, sums[lo:hi]) for b, lo, hi in zip(of, *ends, strict=True) if hi > lo]
+    return _rows(_SENT, out)
+
+
+def _place(nodes: DataFrame, edges: DataFrame, start: int, rows_per_split: int, rows_per_block: int) -> tuple[DataFrame, DataFrame, int]:
+    """(vertices, along, tasks): the blocks of vertices and of edges, kept in caches whose partitioning the planner knows.
+
+    The edges of a vertex lie in one block, those of a vertex with more than `rows_per_split` are spread over several. A dead end has an edge
+    back to the start.
+    """
+    spark = nodes.sparkSession
+    edges = cut(edges.filter(F.col("src").isNotNull()).select("src", "dst"))
+    degrees = cut(edges.groupBy(F.col("src").alias("vid")).agg(F.count("*").alias("degree")))
+    known = cut(nodes.select("vid").filter(F.col("vid").isNotNull()).distinct().join(degrees, "vid", "left"))
+    back = known.filter(F.col("degree").isNull()).select(F.col("vid").alias("src"), F.lit(start).cast("bigint").alias("dst"))
+    rows = degrees.agg(F.sum("degree")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-(rows + known.count()) // rows_per_block))
+    keys = F.array(*[F.lit(k) for k in even_keys(spark, tasks)])
+    dealt = lambda *by: F.get(keys, F.pmod(F.xxhash64(*by), F.lit(tasks)).cast("int"))
+    hubs = cut(degrees.filter(F.col("degree") > rows_per_split).select(F.col("vid").alias("src"), F.ceil(F.col("degree") / rows_per_split).alias("splits")))
+    slot = F.when(F.col("splits").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("dst"), F.col("splits"))).cast("int")
+    slotted = edges.filter(F.col("dst").isNotNull()).join(hubs, "src", "left").select("src", "dst", slot.alias("slot"))
+    slotted = slotted.unionByName(back.withColumn("slot", F.lit(0))).select(
+        dealt("src", "slot").alias("block"), "src", dealt("src").alias("from"), "dst", dealt("dst").alias("to")
+    )
+    packed = cut(slotted.repartition(tasks, "block").groupBy("block").applyInArrow(_pack, _PACKED))
+    drop_cut(edges)
+    routes = packed.filter("of >= 0").select(F.col("of").alias("block"), F.col("block").alias("block_of_edges"), "srcs", "dsts")
+    homes = known.select(dealt("vid").alias("block"), "vid", F.coalesce("degree", F.lit(1)).alias("degree"))
+    with planned(spark, tasks):
+        routed = cut(homes.groupBy("block").cogroup(routes.groupBy("block")).applyInArrow(_route, _ROUTED))
+    along = packed.filter("of < 0").select("block", "srcs", "starts", "ends", "si", "di")
+    placed = [keep_placed(t.repartition(tasks, "block").sortWithinPartitions("block")) for t in (routed, along)]
+    return *placed, tasks
 
 
 def restart_walk(
@@ -30,49 +172,39 @@ def restart_walk(
     alpha: float = 0.15,
     tolerance: float | None = None,
     rows_per_split: int = 100_000,
-    cut_every: int = 5,
+    cut_every: int = 10,
+    rows_per_block: int = 2_000_000,
 ) -> DataFrame:
     """(vid, probability) after `rounds` of r <- alpha * e + (1 - alpha) * P'r, from all mass at `start`.
 
     Every out-edge of a vertex is equally likely. Mass on vertices without out-edges returns to the start.
 
-    The state is a residual x and a sum s for the vertices that anything has reached: a round adds alpha * x to s
-    and sends (1 - alpha) * x on, and s + x is the walk's vector. The residual's mass is (1 - alpha)^k
-    after k rounds, so k rounds are within 2 * (1 - alpha)^k of the limit: with `tolerance` the walk does no more rounds than this bound asks for.
-    A vertex's residual and sum leave it in one join with its edges and meet at the targets in one aggregation. `start` has to
-    be in `nodes`, else nothing is reached.
+    Vertices and edges lie in blocks (`_place`), which are numpy arrays: a round is a step at the vertices, whose shares go once to each block with edges
+    of theirs, and a step along the edges, whose sums go once to each target. `cut_every` rounds are one job. What is left of the first vector after k rounds
+    is (1 - alpha)^k, so k rounds are within 2 * (1 - alpha)^k of the limit: with `tolerance` the walk does no more rounds than this bound asks for.
+    `start` has to be in `nodes`, else nothing is reached.
     """
     if tolerance is not None:
         rounds = min(rounds, math.ceil(math.log(tolerance / 2) / math.log(1 - alpha)))
-    slots, placed = place(_sending(nodes, edges, start), rows_per_split, F.when(F.col("weight") > 0, F.col("dst")))
-    shape = keep_placed(slots.repartition(tasks_for(slots), "vid"))
-    state = shape.filter(F.col("vid") == start).select("*", F.lit(1.0).alias("x"), F.lit(0.0).alias("s"))
-    before = None
-    for step in range(1, rounds + 1):
-        sent = state.select(
-            F.col("vid").alias("src"),
-            ((1 - alpha) * F.col("x") / (F.col("degree") - 1)).alias("x"),
-            (F.col("s") + alpha * F.col("x")).alias("s"),
-            F.pmod(F.xxhash64("vid"), F.col("splits")).cast("int").alias("home"),
-            F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("slot"),
-        )
-        # The vertex itself stands first among its targets: that entry takes the sum to the next round, once for all slots.
-        own = F.col("at") == 0
-        arrived = (
-            sent.withColumn("s", F.when(F.col("slot") == F.col("home"), F.col("s"))).join(placed, ["src", "slot"])
-            .select("x", "s", F.posexplode(F.concat(F.array("src"), "packed")).alias("at", "vid"))
-            .groupBy("vid")
-            .agg(F.sum(F.when(own, 0.0).otherwise(F.col("x"))).alias("x"), F.sum(F.when(own, F.col("s"))).alias("s"))
-        )
-        state = shape.join(arrived.withColumn("s", F.coalesce("s", F.lit(0.0))), "vid")
-        if step % cut_every == 0 or step == rounds:
-            state = cut(state)
-            if before is not None:
-                drop_cut(before)
-            before = state
-    placed.unpersist()
-    shape.unpersist()
-    reached = state.select("vid", (F.col("s") + F.col("x")).alias("p"))
+    spark = nodes.sparkSession
+    vertices, along, tasks = _place(nodes, edges, start, rows_per_split, rows_per_block)
+
+    def met(placed: DataFrame, rows: DataFrame, step, schema: str) -> DataFrame:
+        return placed.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(step, schema)
+
+    arrived, before = spark.createDataFrame([], _SENT), None
+    with planned(spark, tasks):
+        for step in range(rounds):
+            sent = met(vertices, arrived, _vertices(start, alpha, step == 0, False), _SENT)
+            arrived = met(along, sent, _along, _SENT)
+            if (step + 1) % cut_every == 0 or step + 1 == rounds:
+                arrived = cut(arrived)
+                if before is not None:
+                    drop_cut(before)
+                before = arrived
+        reached = cut(met(vertices, arrived, _vertices(start, alpha, rounds == 0, True), "vid BIGINT, p DOUBLE"))
+    vertices.unpersist()
+    along.unpersist()
     return nodes.select("vid").join(reached, "vid", "left").select("vid", F.coalesce("p", F.lit(0.0)).alias("probability"))
 
 

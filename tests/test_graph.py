@@ -305,3 +305,26 @@ def test_clusters_of_patients_keep_no_pairs(spark, tmp_path):
     assert sorted(r.id for r in found) == list(range(80))
     tables = [p for p in paths if os.path.isdir(p.removeprefix("file:"))]
     assert tables and max(spark.read.parquet(p).count() for p in tables) < 1000
+
+
+def test_walk_keeps_its_edges_in_blocks(spark):
+    """Ids that are no vertex, a double edge, a vertex without edges and one that comes twice; a hundred rounds are few jobs' tables."""
+    from cohortloom.session import noted_paths
+
+    edges = [(0, 1), (0, 1), (0, 2), (1, 0), (2, 3), (1, 99), (88, 0)]
+    nodes = spark.createDataFrame([(v,) for v in (0, 1, 2, 3, 4)], "vid BIGINT")
+    frame = spark.createDataFrame(edges, "src BIGINT, dst BIGINT")
+    with noted_paths() as paths:
+        got = {r.vid: r.probability for r in walk.restart_walk(nodes, frame, 0, rounds=100, rows_per_block=2).collect()}
+    out = {0: [1, 1, 2], 1: [0, 99], 2: [3], 3: [0], 4: [0]}
+    p = {v: float(v == 0) for v in out}
+    for _ in range(100):
+        q = {v: 0.15 * (v == 0) for v in out}
+        for v, to in out.items():
+            for d in to:
+                if d in q:
+                    q[d] += 0.85 * p[v] / len(to)
+        p = q
+    assert got == pytest.approx(p)
+    assert len(paths) < 20
+    assert {r.probability for r in walk.restart_walk(nodes, frame, 77, rounds=3).collect()} == {0.0}
