@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.operators.propagate import packed_rows, unpacked
 from cohortloom.session import cut, drop_cut, even_keys, keep_placed, planned
 
 _PACKED = "block INT, of INT, srcs BINARY, dsts BINARY, starts BINARY, ends BINARY, si BINARY, di BINARY"
@@ -16,19 +17,6 @@ _ROUTED = "block INT, vids BINARY, degree BINARY, send BINARY, take BINARY"
 _SENT = "block INT, of INT, x BINARY"
 
 
-def _ints(cell: pa.Scalar, kind: type = np.int32) -> np.ndarray:
-    return np.frombuffer(cell.as_buffer(), dtype=kind)
-
-
-def _rows(schema: str, rows: list[tuple]) -> pa.Table:
-    """Rows of whole numbers and, as bytes, numpy arrays."""
-    names = [c.split() for c in schema.split(", ")]
-    kinds = [pa.int32() if kind == "INT" else pa.binary() for _, kind in names]
-    columns = list(zip(*rows, strict=True)) or [()] * len(names)
-    plain = lambda v: v.tobytes() if isinstance(v, np.ndarray) else v
-    return pa.table([pa.array([plain(v) for v in c], k) for c, k in zip(columns, kinds, strict=True)], names=[n for n, _ in names])
-
-
 def _pack(table: pa.Table) -> pa.Table:
     """A block's edges (block, src, from, dst, to): their places among the block's sources and targets, which lie by the blocks of the vertices.
 
@@ -52,19 +40,19 @@ def _pack(table: pa.Table) -> pa.Table:
     order = np.argsort(di, kind="stable")
     rows = [(block, -1, of, None, starts, ends, si[order], di[order])]
     rows += [(block, int(v), srcs[starts[0, i] : starts[1, i]], dsts[ends[0, i] : ends[1, i]], None, None, None, None) for i, v in enumerate(of)]
-    return _rows(_PACKED, rows)
+    return packed_rows(_PACKED, rows)
 
 
 def _route(nodes: pa.Table, packed: pa.Table) -> pa.Table:
     """A block of vertices (block, vid, degree) with the vertices to send to each block of edges, and those that its sums are for."""
     if not nodes.num_rows:
-        return _rows(_ROUTED, [])
+        return packed_rows(_ROUTED, [])
     vids = nodes.column("vid").to_numpy()
     order = np.argsort(vids)
     vids, degree = vids[order], nodes.column("degree").to_numpy()[order].astype(np.float64)
 
     def places(cell: pa.Scalar) -> np.ndarray:
-        ids = _ints(cell, np.int64)
+        ids = unpacked(cell, np.int64)
         at = np.searchsorted(vids, ids)
         known = at < len(vids)
         known[known] = vids[at[known]] == ids[known]
@@ -75,12 +63,12 @@ def _route(nodes: pa.Table, packed: pa.Table) -> pa.Table:
     send, take = [[places(x) for x in edges.column(c)] for c in ("srcs", "dsts")]
     head = lambda parts: np.array([x for b, p in zip(blocks, parts, strict=True) for x in (b, len(p))], dtype=np.int32)
     whole = lambda parts: np.concatenate([np.array([len(parts)], dtype=np.int32), head(parts), *parts])
-    return _rows(_ROUTED, [(nodes.column("block")[0].as_py(), vids, degree, whole(send), whole(take))])
+    return packed_rows(_ROUTED, [(nodes.column("block")[0].as_py(), vids, degree, whole(send), whole(take))])
 
 
 def _parts(cell: pa.Scalar) -> dict[int, np.ndarray]:
     """The places of each block that `whole` in `_route` has laid one after another."""
-    data = _ints(cell)
+    data = unpacked(cell)
     n = int(data[0])
     blocks, sizes = data[1 : 1 + 2 * n : 2].tolist(), data[2 : 2 + 2 * n : 2]
     ends = 1 + 2 * n + np.cumsum(sizes, dtype=np.int64)
@@ -93,7 +81,7 @@ def _vertices(start: int, alpha: float, first: bool, last: bool):
     def run(placed: pa.Table, arrived: pa.Table) -> pa.Table:
         out = []
         for i in range(placed.num_rows):
-            vids, degree = _ints(placed.column("vids")[i], np.int64), _ints(placed.column("degree")[i], np.float64)
+            vids, degree = unpacked(placed.column("vids")[i], np.int64), unpacked(placed.column("degree")[i], np.float64)
             n = len(vids)
             value = np.zeros(n + 1)
             if not first:
@@ -101,7 +89,7 @@ def _vertices(start: int, alpha: float, first: bool, last: bool):
                 # In the order of the blocks, so that runs agree.
                 sums = arrived.sort_by("of")
                 for of, x in zip(sums.column("of").to_pylist(), sums.column("x"), strict=True):
-                    value[take[of]] += (1 - alpha) * _ints(x, np.float64)  # a target is there once
+                    value[take[of]] += (1 - alpha) * unpacked(x, np.float64)  # a target is there once
             at = np.searchsorted(vids, start)
             if at < n and vids[at] == start:
                 value[at] += 1.0 if first else alpha
@@ -111,7 +99,7 @@ def _vertices(start: int, alpha: float, first: bool, last: bool):
             np.divide(value[:n], degree, out=share[:n], where=degree > 0)
             own = placed.column("block")[i].as_py()
             out += [(b, own, share[places]) for b, places in _parts(placed.column("send")[i]).items() if len(places)]
-        return pa.table([pa.array([], pa.int64()), pa.array([], pa.float64())], names=["vid", "p"]) if last else _rows(_SENT, out)
+        return pa.table([pa.array([], pa.int64()), pa.array([], pa.float64())], names=["vid", "p"]) if last else packed_rows(_SENT, out)
 
     return run
 
@@ -120,16 +108,16 @@ def _along(placed: pa.Table, sent: pa.Table) -> pa.Table:
     """A step along a block's edges: the sources' shares, added up for each target."""
     out = []
     for i in range(placed.num_rows):
-        of = _ints(placed.column("srcs")[i]).tolist()
-        starts, ends = [_ints(placed.column(c)[i], np.int64).reshape(2, -1) for c in ("starts", "ends")]
+        of = unpacked(placed.column("srcs")[i]).tolist()
+        starts, ends = [unpacked(placed.column(c)[i], np.int64).reshape(2, -1) for c in ("starts", "ends")]
         # Blocks without a vertex send nothing.
         x, at = np.zeros(int(starts[1].max(initial=0))), dict(zip(of, starts.T.tolist(), strict=True))
         for b, cell in zip(sent.column("of").to_pylist(), sent.column("x"), strict=True):
-            x[slice(*at[b])] = _ints(cell, np.float64)
-        sums = np.bincount(_ints(placed.column("di")[i]), weights=x[_ints(placed.column("si")[i])], minlength=int(ends[1].max(initial=0)))
+            x[slice(*at[b])] = unpacked(cell, np.float64)
+        sums = np.bincount(unpacked(placed.column("di")[i]), weights=x[unpacked(placed.column("si")[i])], minlength=int(ends[1].max(initial=0)))
         own = placed.column("block")[i].as_py()
         out += [(b, own, sums[lo:hi]) for b, lo, hi in zip(of, *ends, strict=True) if hi > lo]
-    return _rows(_SENT, out)
+    return packed_rows(_SENT, out)
 
 
 def _place(nodes: DataFrame, edges: DataFrame, start: int, rows_per_split: int, rows_per_block: int) -> tuple[DataFrame, DataFrame, int]:

@@ -269,3 +269,35 @@ def test_plan_of_a_stream_step_does_not_grow_with_the_centers(spark, tmp_path):
         step = stream.updated(points, spark.read.parquet(path), 1.0)
         lengths.append(len(step._jdf.queryExecution().optimizedPlan().toString()))
     assert abs(lengths[1] - lengths[0]) < 200
+
+
+def test_rounds_of_a_factorisation_share_jobs(spark):
+    """The updates of dense arrays, whether a job's rounds end before the tolerance or behind it; a cell without a value, a negative number."""
+    from cohortloom.session import noted_paths
+
+    rng = np.random.default_rng(8)
+    v = np.round(rng.random((11, 7)), 3) * (rng.random((11, 7)) < 0.7)
+    v[:, 0] = 0.5
+    cells = [(i - 3, j, float(v[i, j])) for i in range(11) for j in range(7) if v[i, j]] + [(9, 2, None)]
+    entries = spark.createDataFrame(cells, "row BIGINT, col INT, value DOUBLE")
+    v = np.vstack((v, np.zeros((2, 7))))
+    rows = np.array([*range(-3, 8), 9])
+    v = v[:12]
+    start = lambda keys: np.array([[(np.fmod(x * 7 + i * 13, 17) + 1) / 17 for i in range(2)] for x in keys])
+    w, h = start(rows), start(range(7))
+    errors = [0.5 * ((v - w @ h.T) ** 2).sum()]
+    while len(errors) < 100:
+        w = w * (v @ h / (w @ (h.T @ h) + 2e-15))
+        h = h * (v.T @ w / (h @ (w.T @ w) + 1e-10))
+        errors.append(0.5 * ((v - w @ h.T) ** 2).sum())
+        if abs(errors[-1] - errors[-2]) <= 1e-2:
+            break
+    assert 3 < len(errors) < 30
+    for per_job in (2, 40):
+        with noted_paths() as paths:
+            f = nmf.factorize(entries, 2, tolerance=1e-2, rounds_per_job=per_job)
+        assert f.errors == pytest.approx(errors)
+        assert [tuple(r) for r in f.w.select("row", "w0", "w1").orderBy("row").collect()] == [pytest.approx((r, *x)) for r, x in zip(rows, w)]
+        assert [tuple(r) for r in f.h.select("col", "w0", "w1").orderBy("col").collect()] == [pytest.approx((r, *x)) for r, x in enumerate(h)]
+    assert len(paths) < 8
+    assert f.h.schema["col"].dataType.simpleString() == "int"
